@@ -25,7 +25,8 @@ def read_dataset(
     for column, wanted in (("config", name), ("split", split)):
         if wanted is not None:
             df = df.where(F.col(column) == wanted)
-    return df.drop("config", "split") if schema is None else df.select(*schema.fieldNames())
+            df = df.drop(column) if schema is None else df
+    return df if schema is None else df.select(*schema.fieldNames())
 
 
 def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
