@@ -11,19 +11,28 @@ from pyspark.sql import types as T
 
 from gradeloom.functions.text import SPACE, last_line, strip
 
-# Fixed values. Patterns of the two accepted answer forms and of a number, and the reward amounts.
+# Fixed values. The two accepted answer forms, the shape of a number, and the reward amounts.
 # Flags: U = Unicode digits and spaces, d = only \n ends a line, m = $ matches at each line end.
 BOXED = r"\\boxed\{[^}]*\}"
 HASHED = rf"(?mdU)####{SPACE}*.+?{SPACE}*$"
-NUMBER = r"(?U)-?\d[\d,]*\.?\d*"
+NUMBER = r"(?U)-?\d[\d,]*(?:\.(?!0(?!\d))\d+)?"
+DIGIT = r"\p{Nd}"
 CORRECT = 1.0
 WELL_FORMED = 0.1
 
 
+def _first_number(text: Column) -> Column:
+    """The first number without commas, or an empty string.
+
+    The pattern leaves out a fraction that is empty or exactly `0`, so one search does all of the
+    normalising: `12.` and `12.0` read as `12`, while `5.00` stays as it is.
+    """
+    return F.replace(F.regexp_extract(text, NUMBER, 0), F.lit(","), F.lit(""))
+
+
 def normalize_number(text: Column) -> Column:
-    """The first number of a text without commas, trailing dots and one `.0`; null if there is none."""
-    digits = F.rtrim(F.replace(F.regexp_extract(text, NUMBER, 0), F.lit(","), F.lit("")), F.lit("."))
-    return F.nullif(F.regexp_replace(digits, r"\.0\z", ""), F.lit(""))
+    """The first number of a text in normal form; null if there is none."""
+    return F.when(text.rlike(DIGIT), _first_number(text))
 
 
 def boxed_mark(text: Column) -> Column:
@@ -40,14 +49,18 @@ def hashed_mark(text: Column) -> Column:
     return F.regexp_extract(text, HASHED, 0)
 
 
+def _candidates(text: Column) -> Column:
+    """Where an answer may stand, in order of preference, on lines of their own.
+
+    The first number of this text is the predicted answer. There is no branch in it, so the marks
+    that grading needs several times are found once per row.
+    """
+    return F.concat_ws("\n", boxed_mark(text), hashed_mark(text), last_line(text), text)
+
+
 def predicted_answer(text: Column) -> Column:
     """Boxed number, else hashed number, else first number of the last line, else of the text."""
-    return F.coalesce(
-        normalize_number(boxed_mark(text)),
-        normalize_number(hashed_mark(text)),
-        normalize_number(last_line(text)),
-        normalize_number(text),
-    )
+    return F.when(text.rlike(DIGIT), _first_number(_candidates(text)))
 
 
 def extract_gold(answer: Column) -> Column:
@@ -57,7 +70,8 @@ def extract_gold(answer: Column) -> Column:
 
 
 def correctness_reward(text: Column, gold: Column) -> Column:
-    return F.when(predicted_answer(text) == normalize_number(gold), F.lit(CORRECT)).otherwise(F.lit(0.0))
+    predicted = _first_number(_candidates(text))
+    return F.when((predicted != "") & (predicted == _first_number(gold)), F.lit(CORRECT)).otherwise(F.lit(0.0))
 
 
 def format_reward(text: Column, gold: Column | None = None) -> Column:

@@ -13,8 +13,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK = 4096
-# Longest trajectory that the chunk recurrence covers.
+# Longest trajectory that the chunk recurrence covers, in steps and in chunks.
 MAX_STEPS = 2**36
+_MAX_CHUNKS = 2**31
 # Smallest g^k that a chunk may reach, far above what a double can still hold.
 _SMALLEST = 1e-150
 
@@ -93,7 +94,8 @@ def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column,
             "_b": F.pow(F.lit(g), F.col("_n")),
         }
     )
-    for i in range(max(1, math.ceil(math.log2(MAX_STEPS / size)))):
+    rounds = math.ceil(math.log2(min(MAX_STEPS / size, _MAX_CHUNKS)))
+    for i in range(rounds):
         chunks = chunks.withColumns({"_far_a": ahead("_a", 2**i), "_far_b": ahead("_b", 2**i)})
         chunks = chunks.withColumns(
             {"_a": F.col("_a") + F.col("_b") * F.col("_far_a"), "_b": F.col("_b") * F.col("_far_b")}

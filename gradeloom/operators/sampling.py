@@ -73,7 +73,8 @@ def epoch_order_with_copies(
     start = F.col("_chunk") * chunk
     end = F.least(start + chunk, F.col("_copies")) - 1
     spread = chunks.repartition(*keys, "_chunk")
-    return spread.select(*keys, (F.col("_first") + F.explode(F.sequence(start, end))).alias("pos"))
+    first, last = F.col("_first") + start, F.col("_first") + end
+    return spread.select(*keys, F.explode(F.sequence(first, last)).alias("pos"))
 
 
 def subsample_exact(
