@@ -12,6 +12,15 @@ def stream_score(samples: DataFrame, fail: bool = False) -> DataFrame:
     return score_samples(samples, fail)
 
 
+def stream_once(samples: DataFrame, ts: str, watermark: str, unique_by: list[str]) -> DataFrame:
+    """Drop repeats of a sample that is delivered again within the watermark.
+
+    State holds keys only until the watermark passes them. Rows later than the watermark are
+    dropped by Spark and show up as `numRowsDroppedByWatermark` in the query's progress.
+    """
+    return samples.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(unique_by)
+
+
 def stream_group_advantage(
     scored: DataFrame,
     ts: str,
@@ -20,24 +29,22 @@ def stream_group_advantage(
     width: str,
     watermark: str,
     eps: float = 1e-4,
-    unique_by: list[str] | None = None,
     salts: int = 1,
 ) -> DataFrame:
     """Group-normalised advantages for groups that complete within an event-time window.
 
     Statistics are aggregated per (window, group) without holding the rows, and joined to the rows
     once the watermark has passed the window. Append mode; rows of the last window stay in state
-    until a later event moves the watermark. `unique_by` drops samples delivered twice, which would
-    otherwise count twice in the statistics. `salts` repeats the statistics so that the rows of a
-    very large group are joined by that many tasks.
+    until a later event moves the watermark. The source is read by both sides of the join. `salts`
+    repeats the statistics so that the rows of a very large group are joined by that many tasks.
+    Where samples may come twice, write `stream_once` to a table and read the groups from there.
     """
-    stream = scored.withWatermark(ts, watermark)
-    if unique_by:
-        stream = stream.dropDuplicatesWithinWatermark(unique_by)
-    rows = stream.withColumn("window", F.window(ts, width))
+    rows = scored.withWatermark(ts, watermark).withColumn("window", F.window(ts, width))
     stats = rows.groupBy("window", *group).agg(
         F.avg(reward).alias("group_mean"), F.stddev_samp(reward).alias("group_std"), F.count(reward).alias("group_n")
     )
+    # A stream may have one event-time column only; the window takes over from the timestamp.
+    rows = rows.withColumn(ts, F.timestamp_micros(F.unix_micros(ts)))
     on = ["window", *group]
     if salts > 1:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in scored.columns]), F.lit(salts)).cast("int")
