@@ -1,0 +1,176 @@
+"""Sources, validation and framework formats on the small cases."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gradeloom.functions.messages import normalize_messages, split_common_prompt
+from gradeloom.operators.conversations import assemble_conversations, render_turns, with_part_offset
+from gradeloom.functions.chat import chat_chars, render_chat
+from gradeloom.operators.formats import get_format, register_format, slime_file_rows, with_data_source
+from gradeloom.operators.validate import normalize_rl_prompt, validate_messages
+from gradeloom.schemas import MATH_RAW, PREFERENCE, PROMPT_ONLY, SFT
+from gradeloom.sources.adapters import GSM8K_SYSTEM, get_source, register_source
+
+
+def plain(value):
+    """Rows and structs as dicts and lists."""
+    if hasattr(value, "asDict"):
+        return {k: plain(v) for k, v in value.asDict().items()}
+    return [plain(v) for v in value] if isinstance(value, list) else value
+
+
+def records(df):
+    return [plain(r) for r in df.collect()]
+
+
+def talk(*turns):
+    return [{"role": r, "content": c} for r, c in turns]
+
+
+def test_sft_record_comes_back_unchanged(spark):
+    messages = talk(("user", "2+2?"), ("assistant", "<think>add</think> 4"))
+    raw = spark.createDataFrame([(messages,)], SFT)
+    assert records(get_format("sft", "trl")(get_source("traceinversion")(raw))) == [{"messages": messages}]
+
+
+@pytest.mark.parametrize("messages, why", [(talk(("wizard", "x")), "unknown role"), ([], "empty conversation")])
+def test_bad_conversation_fails_the_job(spark, messages, why):
+    raw = spark.createDataFrame([(messages,)], SFT)
+    with pytest.raises(Exception, match=why):
+        get_source("traceinversion")(raw).collect()
+
+
+def test_check_survives_pruning(spark):
+    raw = spark.createDataFrame([(talk(("wizard", "x")),)], SFT)
+    with pytest.raises(Exception, match="unknown role"):
+        get_source("traceinversion")(raw).select(F.size("messages")).collect()
+
+
+def test_bad_rows_are_kept_aside_and_counted(spark):
+    from pyspark.sql import Observation
+
+    rows = [(1, talk(("user", "a"))), (2, talk(("wizard", "b"))), (3, []), (4, None), (5, [{"role": None, "content": "c"}])]
+    raw = spark.createDataFrame(rows, T.StructType([T.StructField("id", T.LongType()), SFT["messages"]]))
+    good, bad = validate_messages(raw, ["messages"])
+    assert [r["id"] for r in good.collect()] == [1]
+    assert {r["id"]: r["reject_reason"] for r in bad.collect()} == {
+        2: "unknown role",
+        3: "empty conversation",
+        4: "empty conversation",
+        5: "unknown role",
+    }
+    counts = Observation("checked")
+    observed, _ = validate_messages(raw, ["messages"], observe=counts)
+    observed.collect()
+    assert counts.get == {"rows": 5, "rejected": 4}
+
+
+def test_content_becomes_text(spark):
+    schema = "messages array<struct<role:string,content:{},extra:int>>"
+    for kind, given, wanted in [("string", None, "None"), ("boolean", True, "True"), ("bigint", 12, "12")]:
+        raw = spark.createDataFrame([([("user", given, 1)],)], schema.format(kind))
+        got = raw.select(normalize_messages(raw, "messages").alias("m")).first()["m"]
+        assert plain(got) == talk(("user", wanted))
+    raw = spark.createDataFrame([([("user", 1.5, 1)],)], schema.format("double"))
+    with pytest.raises(TypeError):
+        normalize_messages(raw, "messages")
+
+
+def test_drop_mode(spark):
+    raw = spark.createDataFrame([(talk(("user", "a")),), ([],)], SFT)
+    assert get_source("traceinversion")(raw, mode="drop").count() == 1
+
+
+def test_preference_record(spark):
+    chosen = talk(("user", "hi"), ("assistant", "hello!"))
+    rejected = talk(("user", "hi"), ("assistant", "no."))
+    raw = spark.createDataFrame([(chosen, rejected)], PREFERENCE)
+    made = get_format("dpo", "trl")(get_source("ultrafeedback")(raw))
+    assert records(made) == [{"chosen": chosen, "rejected": rejected}]
+
+
+def test_math_record_and_its_formats(spark):
+    raw = spark.createDataFrame([("2+2?", "add two and two\n#### 4"), ("q", "...\n#### 1,234")], MATH_RAW)
+    example = get_source("gsm8k")(raw)
+    first, second = records(example)
+    assert first == {"prompt": talk(("system", GSM8K_SYSTEM), ("user", "2+2?")), "answer": "4"}
+    assert second["answer"] == "1234"
+    assert records(get_format("grpo", "trl")(example))[0] == first
+    verl = records(with_data_source(get_format("grpo", "verl")(example), "gsm8k"))[0]
+    assert verl == {
+        "prompt": first["prompt"],
+        "reward_model": {"style": "rule", "ground_truth": "4"},
+        "data_source": "gsm8k",
+    }
+    slime = get_format("grpo", "slime")(example)
+    assert records(slime)[0] == {"prompt": first["prompt"], "label": "4"}
+    line = records(slime_file_rows(slime, "gsm8k"))[0]
+    assert line == {
+        "prompt": f"<|im_start|>system\n{GSM8K_SYSTEM}<|im_end|>\n<|im_start|>user\n2+2?<|im_end|>\n<|im_start|>assistant\n",
+        "label": "4",
+        "metadata": {"data_source": "gsm8k"},
+    }
+    assert records(slime_file_rows(slime, "gsm8k", template=None))[0]["prompt"] == first["prompt"]
+
+
+def test_missing_math_answer(spark):
+    raw = spark.createDataFrame([("q", None)], MATH_RAW)
+    with pytest.raises(Exception, match="missing answer"):
+        get_source("gsm8k")(raw).collect()
+    assert get_source("gsm8k")(raw, mode="drop").count() == 0
+
+
+def test_rl_prompt_answer_is_text(spark):
+    raw = spark.createDataFrame([(talk(("user", "q")), 7)], T.StructType([PROMPT_ONLY["prompt"], T.StructField("answer", T.IntegerType())]))
+    assert records(normalize_rl_prompt(raw))[0]["answer"] == "7"
+
+
+def test_prompt_only_record(spark):
+    prompt = talk(("user", "Write a haiku."))
+    made = get_format("online_dpo", "trl")(get_source("ultrafeedback_prompt")(spark.createDataFrame([(prompt,)], PROMPT_ONLY)))
+    assert records(made) == [{"prompt": prompt}]
+
+
+def test_registries():
+    assert get_format("sft", "unsloth") is get_format("sft", "trl") is get_format("sft", "verl")
+    assert get_format("dpo", "unsloth") is get_format("dpo", "trl")
+    assert get_format("grpo", "unsloth") is get_format("grpo", "trl")
+    assert get_format("ppo", "verl") is get_format("grpo", "verl")
+    assert get_format("ppo", "slime") is get_format("grpo", "slime")
+    for pair in [("sft", "nope"), ("nope", "trl"), ("online_dpo", "unsloth"), ("ppo", "trl")]:
+        with pytest.raises(ValueError):
+            get_format(*pair)
+    with pytest.raises(ValueError):
+        get_source("nope")
+    register_source("mine", lambda df, **_: df)
+    register_format("sft", "mine", lambda df: df)
+    assert get_source("mine")("df") == get_format("sft", "mine")("df") == "df"
+
+
+def test_common_prompt(spark):
+    a, b, c = ("user", "a"), ("assistant", "b"), ("assistant", "c")
+    cases = [([a, b], [a, c], 1), ([b], [c], 0), ([a, b], [a, b], 2), ([a], [a, b, c], 1), ([a, b, c], [a], 1)]
+    raw = spark.createDataFrame([(talk(*x), talk(*y)) for x, y, _ in cases], PREFERENCE)
+    split = split_common_prompt(F.col("chosen"), F.col("rejected"))
+    got = records(raw.select(*[col.alias(n) for n, col in split.items()]))
+    for (x, y, n), row in zip(cases, got):
+        assert row == {"prompt": talk(*x[:n]), "chosen": talk(*x[n:]), "rejected": talk(*y[n:])}
+
+
+def test_long_conversations_go_on_in_parts(spark):
+    turns = [(c, t, "user" if t % 2 else "assistant", f"{c}.{t}") for c, n in [(1, 3), (2, 11), (3, 4)] for t in range(n)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    parts = assemble_conversations(df, part_turns=4).withColumn("n", chat_chars(F.col("messages")))
+    placed = with_part_offset(parts.withColumn("chat", render_chat(F.col("messages"))), "n").collect()
+    assert {(r["conv_id"], r["part"]) for r in placed} == {(1, 0), (2, 0), (2, 1), (2, 2), (3, 0)}
+    whole = {}
+    for row in sorted(placed, key=lambda r: (r["conv_id"], r["part"])):
+        before = whole.get(row["conv_id"], "")
+        assert row["offset"] == len(before)
+        whole[row["conv_id"]] = before + row["chat"]
+    for conv in (1, 2, 3):
+        mine = [(t, r, x) for c, t, r, x in turns if c == conv]
+        assert whole[conv] == "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for _, r, x in sorted(mine))
+    texts = {(r["conv_id"], r["part"]): r["text"] for r in render_turns(df, part_turns=4).collect()}
+    assert texts == {(r["conv_id"], r["part"]): r["chat"] for r in placed}
