@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from gradeloom.functions.text import SPACE, last_line, strip
 
 # Fixed values. The two accepted answer forms, the shape of a number, and the reward amounts.
-# Flags: U = Unicode digits and spaces, d = only \n ends a line, m = $ matches at each line end.
+# Flags: d = only \n ends a line, m = $ matches at each line end. Nd are the digits of all scripts.
 BOXED = r"\\boxed\{[^}]*\}"
-HASHED = rf"(?mdU)####{SPACE}*.+?{SPACE}*$"
-NUMBER = r"(?U)-?\d[\d,]*(?:\.(?!0(?!\d))\d+)?"
+HASHED = rf"(?md)####{SPACE}*.+?{SPACE}*$"
+NUMBER = r"-?\p{Nd}[\p{Nd},]*(?:\.(?!0(?!\p{Nd}))\p{Nd}+)?"
 DIGIT = r"\p{Nd}"
 CORRECT = 1.0
 WELL_FORMED = 0.1

@@ -13,9 +13,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK = 4096
-# Longest trajectory that the chunk recurrence covers, in steps and in chunks.
-MAX_STEPS = 2**36
-_MAX_CHUNKS = 2**31
 # Smallest g^k that a chunk may reach, far above what a double can still hold.
 _SMALLEST = 1e-150
 
@@ -47,12 +44,15 @@ def gae(
     gamma: float = 1.0,
     lam: float = 1.0,
     chunk: int = CHUNK,
+    max_steps: int | None = None,
 ) -> DataFrame:
     """Add `advantage` and `value_target` (advantage + value).
 
     `step` counts 0, 1, 2, ... within a trajectory. The value after the last step is 0. Rows are
     shuffled once, on trajectory and chunk, so a trajectory with a third of all rows is shared by
-    many tasks; only steps from `chunk` on are read a second time.
+    many tasks; only steps from `chunk` on are read a second time. `max_steps` is the length of the
+    longest trajectory, usually a generation limit; when not given, one pass over the step column
+    finds it.
     """
     if not (0.0 <= gamma <= 1.0 and 0.0 <= lam <= 1.0):
         raise ValueError("gamma and lam must be between 0 and 1")
@@ -61,16 +61,19 @@ def gae(
     r, v = F.col(reward).cast("double"), F.col(value).cast("double")
     number = F.floor(F.col(step) / size).cast("long")
     rows = df.withColumns({"_chunk": number, "_k": (F.col(step) - number * size).cast("int")})
-    local = _local_advantage(rows, keys, step, r, v, gamma, g)
-    inflow = _inflow(rows.where(F.col(step) >= size), keys, step, r, v, gamma, g, size)
-    full = local.join(inflow, [*keys, "_chunk"], "left")
-    carried = F.pow(F.lit(g), F.lit(size - 1) - F.col("_k")) * F.coalesce(F.col("_inflow"), F.lit(0.0))
-    done = full.withColumn("advantage", F.col("_local") + carried)
+    done = _local_advantage(rows, keys, step, r, v, gamma, g).withColumn("advantage", F.col("_local"))
+    if max_steps is None:
+        max_steps = (df.agg(F.max(step)).first()[0] or 0) + 1
+    chunks = -(-max_steps // size)
+    if chunks > 1:
+        inflow = _inflow(rows.where(F.col(step) >= size), keys, step, r, v, gamma, g, chunks)
+        carried = F.pow(F.lit(g), F.lit(size - 1) - F.col("_k")) * F.coalesce(F.col("_inflow"), F.lit(0.0))
+        done = done.join(inflow, [*keys, "_chunk"], "left").withColumn("advantage", F.col("_local") + carried)
     done = done.withColumn("value_target", F.col("advantage") + v)
     return done.select(*df.columns, "advantage", "value_target")
 
 
-def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column, gamma, g, size: int) -> DataFrame:
+def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column, gamma, g, n_chunks: int) -> DataFrame:
     """`(keys, _chunk, _inflow)`: what the chunks after `_chunk` add to its last step.
 
     The advantage at the first step of chunk c is a_c + b_c * (that of chunk c+1). Each round below
@@ -94,8 +97,7 @@ def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column,
             "_b": F.pow(F.lit(g), F.col("_n")),
         }
     )
-    rounds = math.ceil(math.log2(min(MAX_STEPS / size, _MAX_CHUNKS)))
-    for i in range(rounds):
+    for i in range(math.ceil(math.log2(n_chunks))):
         chunks = chunks.withColumns({"_far_a": ahead("_a", 2**i), "_far_b": ahead("_b", 2**i)})
         chunks = chunks.withColumns(
             {"_a": F.col("_a") + F.col("_b") * F.col("_far_a"), "_b": F.col("_b") * F.col("_far_b")}

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.order import in_validation, order_hash
 
-# Hex digits of the bucket prefix: 4096 buckets, so 10^10 rows make buckets of about 2.4 million.
-PREFIX = 3
-MAX_PREFIX = 4
+# Hex digits of the bucket prefix. 65,536 buckets cut 100 TB into pieces of 1.5 GB, a million
+# buckets into pieces of 100 MB; one task sorts one bucket at a time.
+PREFIX = 4
+MAX_PREFIX = 5
 
 # Up to this size a sample is taken by keeping the best n rows of each partition.
 TOP_ROWS = 10_000

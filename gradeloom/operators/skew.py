@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group above this many rows is treated as hot. At most rows / HOT_ROWS groups can be, so a
-# table of hot keys is small however large the input is: 10^11 rows give at most 10^5 keys.
-HOT_ROWS = 1_000_000
+# table of hot keys is small however large the input is: 10^11 rows give at most 10^6 keys.
+HOT_ROWS = 100_000
 
 # A lookup table up to this many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000

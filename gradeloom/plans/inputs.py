@@ -44,8 +44,8 @@ ROLLOUT = {
 STEP = {
     "trajectory": "CAST(floor(event_id / 100) AS BIGINT)",
     "step": "event_id % 100",
-    "reward": "value / 10.0",
-    "value": "CAST((event_id * 7) % 13 AS DOUBLE) / 10.0",
+    "reward": "value / 7.0",
+    "value": "CAST((event_id * 7) % 13 AS DOUBLE) / 9.0",
 }
 
 MATH = {

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.functions import rewards as R
-from gradeloom.functions.text import strip
+from gradeloom.functions.text import SPACE, SPACES, strip
 from gradeloom.operators.scoring import score_completions, score_routed, score_samples
 
 NUMBER = r"-?\d[\d,]*\.?\d*"
@@ -102,6 +102,11 @@ def test_random_texts_agree_with_python(spark, seed):
         assert row["stripped"] == text.strip(), repr(text)
 
 
+def test_whitespace_is_what_python_takes_for_it():
+    blank = {c for c in map(chr, range(0x110000)) if c.isspace()}
+    assert set(SPACES) == blank == {c for c in map(chr, range(0x110000)) if re.fullmatch(SPACE, c)}
+
+
 def test_strip_is_linear_in_blank_runs(spark):
     text = "a" + " " * 200_000 + "b" + " " * 10
     got = spark.createDataFrame([(text,)], "t string").select(strip(F.col("t"))).first()[0]

@@ -92,6 +92,14 @@ def test_gae(spark, gamma, lam, chunk):
             assert got[k, t]["value_target"] == pytest.approx(a + steps[t][1], abs=1e-9)
 
 
+def test_gae_with_a_known_length(spark):
+    steps = [(1, t, 0.5 * t, 0.25 * t) for t in range(40)]
+    df = spark.createDataFrame(steps, "k long, step long, reward double, value double")
+    measured = gae(df, ["k"], gamma=0.9, chunk=8).collect()
+    assert sorted(measured) == sorted(gae(df, ["k"], gamma=0.9, chunk=8, max_steps=64).collect())
+    assert gae(df.limit(0), ["k"]).count() == 0
+
+
 def test_gae_limits(spark):
     df = spark.createDataFrame([(1, 0, 1.0, 0.0)], "k long, step long, reward double, value double")
     with pytest.raises(ValueError):
