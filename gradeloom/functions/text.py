@@ -18,7 +18,8 @@ _SPACE_RUNS = (
     (0x3000, 0x3000),
 )
 SPACES = "".join(chr(c) for first, last in _SPACE_RUNS for c in range(first, last + 1))
-SPACE = f"[{SPACES}]"
+_CLASS = "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in _SPACE_RUNS)
+SPACE = f"[{_CLASS}]"
 
 
 def strip(text: Column) -> Column:
@@ -32,4 +33,4 @@ def last_line(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Whitespace-separated words: the default length measure where no tokenizer is at hand."""
-    return F.regexp_count(text, F.lit(f"[^{SPACES}]+"))
+    return F.regexp_count(text, F.lit(f"[^{_CLASS}]+"))

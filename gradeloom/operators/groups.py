@@ -22,22 +22,29 @@ def advantage(reward: Column, mean: Column, std: Column, eps: float) -> Column:
 def group_advantage(
     df: DataFrame,
     group: list[str],
-    reward: str,
+    reward: str | Column,
     eps: float = 1e-4,
     ddof: int = 1,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Add `group_mean`, `group_std` and `advantage`, the reward normalised within its group.
 
+    `reward` names a column, or is an expression that is added as column `reward`; an expression is
+    worked out only after hot groups are set apart, so it costs nothing to find them.
+
     Ordinary groups share one window, so one shuffle of the rows. Groups above `hot_rows` rows are
     aggregated before the shuffle and their few statistics are broadcast back, so their rows are
     not shuffled at all. Give `hot_rows=None` where the group size is fixed by construction.
     """
-    r = F.col(reward)
+    name = reward if isinstance(reward, str) else "reward"
+    r = F.col(name)
     window = W.partitionBy(*group)
 
+    def rewarded(rows: DataFrame) -> DataFrame:
+        return rows if isinstance(reward, str) else rows.withColumn(name, reward)
+
     def windowed(rows: DataFrame) -> DataFrame:
-        return rows.withColumns(
+        return rewarded(rows).withColumns(
             {"group_mean": F.avg(r).over(window), "group_std": _spread(r, ddof).over(window)}
         )
 
@@ -46,7 +53,7 @@ def group_advantage(
     else:
         ordinary, hot = split_hot(df, group, hot_rows)
         stats = [F.avg(r).alias("group_mean"), _spread(r, ddof).alias("group_std")]
-        placed = windowed(ordinary).unionByName(join_group_stats(hot, group, stats))
+        placed = windowed(ordinary).unionByName(join_group_stats(rewarded(hot), group, stats))
     return placed.withColumn("advantage", advantage(r, F.col("group_mean"), F.col("group_std"), eps))
 
 

@@ -14,15 +14,16 @@ _KEY = ["prompt_id", "sample_no", "completion"]
 
 def group_advantage(spark: SparkSession, folder: str) -> DataFrame:
     """Grade, then normalise within each prompt's group: the whole way from text to advantage."""
-    placed = G.group_advantage(scored_rollouts(spark, folder), ["prompt_id"], "reward")
+    reward = R.gsm8k_score(F.col("completion"), F.col("gold"))
+    placed = G.group_advantage(rollouts(spark, folder), ["prompt_id"], reward)
     return placed.select(*_KEY, "reward", F.round("advantage", 6).alias("advantage"))
 
 
 def group_advantage_hot(spark: SparkSession, folder: str) -> DataFrame:
     """The same with uneven groups, one of which holds a third of all rows and counts as hot."""
     bucket = F.when(F.col("prompt_id") % 3 == 0, -1).otherwise(F.col("prompt_id") % 997)
-    scored = scored_rollouts(spark, folder).withColumn("bucket", bucket)
-    placed = G.group_advantage(scored, ["bucket"], "reward", hot_rows=1000)
+    reward = R.gsm8k_score(F.col("completion"), F.col("gold"))
+    placed = G.group_advantage(rollouts(spark, folder).withColumn("bucket", bucket), ["bucket"], reward, hot_rows=1000)
     return placed.select(*_KEY, "bucket", F.round("advantage", 6).alias("advantage"))
 
 

@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from gradeloom.operators import groups as G
 from gradeloom.operators.gae import gae
@@ -39,6 +40,13 @@ def test_group_advantage(rewards, hot_rows, ddof):
             assert got[i] == pytest.approx((r - statistics.fmean(values)) / (std + 1e-4), abs=1e-9)
 
 
+def test_reward_given_as_an_expression(rewards):
+    _, df = rewards
+    named = G.group_advantage(df, ["g"], "r", hot_rows=50).select("id", "advantage").collect()
+    made = G.group_advantage(df, ["g"], F.col("r") * 1.0, hot_rows=50).select("id", "advantage").collect()
+    assert sorted(named) == sorted(made)
+
+
 def test_no_spread_and_no_eps(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 1.0)], "g long, r double")
     assert [r["advantage"] for r in G.group_advantage(df, ["g"], "r", eps=0.0).collect()] == [0.0, 0.0, 0.0]
