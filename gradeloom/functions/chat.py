@@ -27,8 +27,13 @@ def render_user_prompt(text: Column) -> Column:
     return F.concat(render_block(F.lit("user"), text), F.lit(CUE))
 
 
+def block_chars(role: Column, content: Column) -> Column:
+    """Length of one message as chat text, without building it."""
+    return F.length(role) + F.length(content) + F.lit(len(START) + len(END) + 2)
+
+
 def _block_length(message: Column) -> Column:
-    return F.length(message["role"]) + F.length(message["content"]) + F.lit(len(START) + len(END) + 2)
+    return block_chars(message["role"], message["content"])
 
 
 def assistant_spans(messages: Column) -> Column:

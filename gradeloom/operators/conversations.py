@@ -1,10 +1,10 @@
 """From one row per turn to one row per conversation."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gradeloom.functions.chat import render_block
+from gradeloom.functions.chat import block_chars, render_block
 from gradeloom.functions.messages import as_text
 
 # Turns per row. A conversation beyond this continues in further rows, so no row and no task has
@@ -12,9 +12,13 @@ from gradeloom.functions.messages import as_text
 PART_TURNS = 1024
 
 
-def _parts(turns: DataFrame, conv: str, turn: str, part_turns: int, payload: list) -> DataFrame:
+def _part(turn: str, part_turns: int) -> Column:
+    return F.floor(F.col(turn) / part_turns).cast("long").alias("part")
+
+
+def _parts(turns: DataFrame, conv: str, turn: str, part_turns: int, payload: list[Column]) -> DataFrame:
     return (
-        turns.groupBy(F.col(conv), F.floor(F.col(turn) / part_turns).cast("long").alias("part"))
+        turns.groupBy(F.col(conv), _part(turn, part_turns))
         .agg(F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), *payload))).alias("_turns"))
     )
 
@@ -54,10 +58,28 @@ def render_turns(
     return grouped.select(conv, "part", F.array_join(F.col("_turns.block"), "").alias("text"))
 
 
-def with_part_offset(parts: DataFrame, length: str, conv: str = "conv_id") -> DataFrame:
+def part_lengths(
+    turns: DataFrame,
+    conv: str = "conv_id",
+    turn: str = "turn",
+    role: str = "role",
+    content: str = "text",
+    part_turns: int = PART_TURNS,
+) -> DataFrame:
+    """`(conv, part, chars)`: length of each part's chat text, added up before the shuffle."""
+    words = as_text(F.col(content), turns.schema[content].dataType)
+    chars = F.sum(block_chars(F.col(role), words)).alias("chars")
+    return turns.groupBy(F.col(conv), _part(turn, part_turns)).agg(chars)
+
+
+def with_part_offset(parts: DataFrame, lengths: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Add `offset`, the number of characters before each part in its whole conversation.
 
-    Runs over one row per part, that is turns / part_turns rows, and over the lengths alone.
+    The running sum goes over `(conv, part, chars)` alone, one row per `part_turns` turns, so the
+    texts of a long conversation are never brought together. Only later parts have an offset to
+    join; where no conversation is long the join falls away at run time.
     """
     before = W.partitionBy(conv).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    return parts.withColumn("offset", F.coalesce(F.sum(length).over(before), F.lit(0)).cast("long"))
+    offsets = lengths.select(conv, "part", F.sum("chars").over(before).alias("_offset")).where(F.col("part") > 0)
+    placed = parts.join(offsets, [conv, "part"], "left")
+    return placed.withColumn("offset", F.coalesce(F.col("_offset"), F.lit(0)).cast("long")).drop("_offset")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions import chat as C
 from gradeloom.functions.messages import split_common_prompt
-from gradeloom.operators.conversations import render_turns, with_part_offset
+from gradeloom.operators.conversations import part_lengths, render_turns, with_part_offset
 from gradeloom.operators.formats import get_format, slime_file_rows, with_data_source
 from gradeloom.operators.validate import validate_messages, with_reject_reason
 from gradeloom.plans.inputs import (
@@ -117,8 +117,8 @@ def chat_render_turns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def assistant_spans(spark: SparkSession, folder: str) -> DataFrame:
-    parts = conversations(spark, folder).select("conv_id", "part", F.col("messages"))
-    placed = with_part_offset(parts.withColumn("_chars", C.chat_chars(F.col("messages"))), "_chars")
+    turns = derive(read_table(spark, folder, "conversations"), TURN)
+    placed = with_part_offset(conversations(spark, folder), part_lengths(turns, content="content"))
     spans = placed.select("conv_id", "offset", F.explode(C.assistant_spans(F.col("messages"))).alias("span"))
     return spans.select(
         "conv_id",

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeloom.functions.messages import normalize_messages, split_common_prompt
-from gradeloom.operators.conversations import assemble_conversations, render_turns, with_part_offset
-from gradeloom.functions.chat import chat_chars, render_chat
+from gradeloom.operators.conversations import assemble_conversations, part_lengths, render_turns, with_part_offset
+from gradeloom.functions.chat import render_chat
 from gradeloom.operators.formats import get_format, register_format, slime_file_rows, with_data_source
 from gradeloom.operators.validate import normalize_rl_prompt, validate_messages
 from gradeloom.schemas import MATH_RAW, PREFERENCE, PROMPT_ONLY, SFT
@@ -161,8 +161,9 @@ def test_common_prompt(spark):
 def test_long_conversations_go_on_in_parts(spark):
     turns = [(c, t, "user" if t % 2 else "assistant", f"{c}.{t}") for c, n in [(1, 3), (2, 11), (3, 4)] for t in range(n)]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
-    parts = assemble_conversations(df, part_turns=4).withColumn("n", chat_chars(F.col("messages")))
-    placed = with_part_offset(parts.withColumn("chat", render_chat(F.col("messages"))), "n").collect()
+    parts = assemble_conversations(df, part_turns=4)
+    chats = parts.select("conv_id", "part", render_chat(F.col("messages")).alias("chat"))
+    placed = with_part_offset(chats, part_lengths(df, part_turns=4)).collect()
     assert {(r["conv_id"], r["part"]) for r in placed} == {(1, 0), (2, 0), (2, 1), (2, 2), (3, 0)}
     whole = {}
     for row in sorted(placed, key=lambda r: (r["conv_id"], r["part"])):
