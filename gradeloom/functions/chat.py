@@ -91,5 +91,5 @@ def resolve_chat_template(name: str | None) -> Template | None:
     if not name:
         return None
     if name not in _TEMPLATES:
-        raise ValueError(f"unknown chat_template: {name!r}")
+        raise ValueError(f"no chat template is registered as {name!r}")
     return _TEMPLATES[name]

@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 from gradeloom.functions.text import SPACE, last_line, strip
 
 # Fixed values. The two accepted answer forms, the shape of a number, and the reward amounts.
-# Flags: d = only \n ends a line, m = $ matches at each line end. Nd are the digits of all scripts.
+# A hashed answer is the rest of its line, and blanks before it may run over line ends; only \n ends
+# a line. Nd are the digits of all scripts. No pattern needs more than one pass over a line.
 BOXED = r"\\boxed\{[^}]*\}"
-HASHED = rf"(?md)####{SPACE}*.+?{SPACE}*$"
+HASHED = rf"####{SPACE}*[^\n]+"
 NUMBER = r"-?\p{Nd}[\p{Nd},]*(?:\.(?!0(?!\p{Nd}))\p{Nd}+)?"
 DIGIT = r"\p{Nd}"
 CORRECT = 1.0
@@ -96,7 +97,7 @@ def register_scorer(task: str, components: dict[str, Scorer]) -> None:
 
 def reward_components(task: str) -> dict[str, Scorer]:
     if task not in _SCORERS:
-        raise ValueError(f"unknown reward set: {task!r}")
+        raise ValueError(f"no rewards registered for task {task!r}")
     return _SCORERS[task]
 
 

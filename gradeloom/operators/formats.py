@@ -57,7 +57,7 @@ def register_format(method: str, framework: str, build: Format) -> None:
 def get_format(method: str, framework: str) -> Format:
     found = _FORMATS.get(method, {}).get(framework)
     if found is None:
-        raise ValueError(f"no data format adapter for {method}/{framework!r}")
+        raise ValueError(f"{framework!r} has no row format for method {method!r}")
     return found
 
 

@@ -76,5 +76,5 @@ def register_source(name: str, adapter: Source) -> None:
 
 def get_source(name: str) -> Source:
     if name not in _SOURCES:
-        raise ValueError(f"unknown dataset source: {name!r}")
+        raise ValueError(f"no source is registered as {name!r}")
     return _SOURCES[name]

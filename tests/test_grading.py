@@ -85,13 +85,13 @@ def random_texts(n, alphabet, seed):
     return ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 14))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_random_texts_agree_with_python(spark, seed):
     # Separators and digits of other scripts, and every line end that only some engines know.
     alphabet = ["#", "####", "#### ", "\\boxed{", "}", "0", "1", "7", ",", ".", "-", " ", "\n", "\t", "\r", "x",
                 "\x1c", "\x1f", "\x85", "\u2028", "\u00a0", "\u0663", "\u3000", "\u00e9"]
-    texts = random_texts(4000, alphabet, seed)
-    golds = random_texts(4000, alphabet, seed + 100)
+    texts = random_texts(8000, alphabet, seed)
+    golds = random_texts(8000, alphabet, seed + 100)
     for text, gold, row in zip(texts, golds, graded(spark, list(zip(texts, golds)))):
         assert row["predicted"] == answer_of(text), repr(text)
         assert row["gold"] == number_of(gold), repr(gold)
@@ -116,6 +116,11 @@ def test_strip_is_linear_in_blank_runs(spark):
     assert got == text.rstrip()
 
 
+def test_long_blank_runs_are_graded_in_passing(spark):
+    text = "#### " + "a" + " " * 100_000 + "b 7"
+    assert graded(spark, [(text, "7")])[0]["score"] == pytest.approx(1.1)
+
+
 def test_components_sum_to_the_scalar(spark):
     df = spark.createDataFrame([c[:2] for c in CASES], "completion string, answer string")
     rows = score_completions(df, "gsm8k").withColumn("scalar", R.gsm8k_score(F.col("completion"), F.col("answer")))
