@@ -6,7 +6,7 @@ row's rank is the number of rows in earlier buckets plus its rank inside its own
 depend on the hash alone, so a recomputed task finds its rows in the same bucket.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -83,22 +83,44 @@ def subsample_exact(
 ) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones for everyone who uses the seed; no n means all rows.
 
-    A small n is a top-n. For a large n, whole buckets are taken as long as they fit, and only the
-    bucket in which the count runs out is ranked.
+    A small n is a top-n. For a large n, two passes over the key columns find the last row that
+    still belongs to the sample, and the sample is a filter over the table: whole rows are read
+    once and not shuffled.
     """
     if not n:
         return df
     if n <= top_rows:
         return df.orderBy(order_hash(seed, keys), *keys).limit(n)
-    rows = _bucketed(df, keys, seed, None, prefix)
-    offsets = _bucket_offsets(rows, F.count(F.lit(1))).where(F.col("_before") < n)
-    near = rows.join(F.broadcast(offsets), "_bucket")
-    whole = near.where(F.col("_before") + F.col("_size") <= n)
-    cut = near.where(F.col("_before") + F.col("_size") > n)
+    last = _last_of_sample(df, n, keys, seed, prefix)
+    if last is None:
+        return df
+    place = F.struct(order_hash(seed, keys).alias("_hash"), *keys)
+    bound = [F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys]
+    limit = F.struct(F.lit(last["_hash"]).alias("_hash"), *bound)
+    if last["_wanted"] == last["_equal"]:
+        return df.where(place <= limit)
+    # Several rows share the last key and not all of them are in.
+    return df.where(place < limit).unionByName(df.where(place == limit).limit(last["_wanted"]))
+
+
+def _last_of_sample(df: DataFrame, n: int, keys: list[str], seed: int, prefix: int) -> Row | None:
+    """The n-th row's hash and key, how many rows have that key, and how many of those are wanted.
+
+    Only the bucket in which the count runs out is ranked, by keys alone. None when all rows are in.
+    """
+    rows = _bucketed(df.select(*keys), keys, seed, None, prefix)
+    offsets = _bucket_offsets(rows, F.count(F.lit(1)))
+    crossing = offsets.where((F.col("_before") < n) & (F.col("_before") + F.col("_size") >= n))
     inside = W.partitionBy("_bucket").orderBy("_hash", *keys)
-    cut = cut.withColumn("_rank", F.row_number().over(inside))
-    cut = cut.where(F.col("_before") + F.col("_rank") <= n).drop("_rank")
-    return whole.unionByName(cut).drop(*_INTERNAL)
+    same = W.partitionBy("_bucket", "_hash", *keys)
+    ranked = rows.join(F.broadcast(crossing), "_bucket").withColumns(
+        {
+            "_place": F.col("_before") + F.row_number().over(inside),
+            "_wanted": n - F.col("_before") - F.rank().over(inside) + 1,
+            "_equal": F.count(F.lit(1)).over(same),
+        }
+    )
+    return ranked.where(F.col("_place") == n).select("_hash", *keys, "_wanted", "_equal").first()
 
 
 def resume_from(ordered: DataFrame, pos: int) -> DataFrame:

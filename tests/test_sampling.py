@@ -50,6 +50,18 @@ def test_subsample(keyed, n, top_rows):
     assert len(got) == len(wanted) and {r["k"] for r in got} == wanted
 
 
+@pytest.mark.parametrize("n", [5, 40, 100, 149, 150, 151])
+def test_subsample_where_rows_share_keys(spark, n):
+    # Null and repeated keys, one of them with a third of all rows.
+    rows = [(None if i % 10 == 1 else (7 if i % 3 == 0 else i // 2), i) for i in range(150)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(4)
+    got = S.subsample_exact(df, n, ["k"], 42, prefix=1, top_rows=0).collect()
+    hashed = sorted(digest(42, "" if k is None else k) for k, _ in rows)
+    assert len(got) == len({r["v"] for r in got}) == min(n, 150)
+    mine = sorted(digest(42, "" if r["k"] is None else r["k"]) for r in got)
+    assert mine == hashed[: len(got)]
+
+
 def test_no_limit_means_everything(keyed):
     assert S.subsample_exact(keyed, None, ["k"]).count() == S.subsample_exact(keyed, 0, ["k"]).count() == 5000
 
