@@ -12,28 +12,27 @@ HOT_ROWS = 100_000
 # A lookup table up to this many rows is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
-# Pieces that a key is spread over in a shuffled lookup.
-SALTS = 32
-
 
 def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
 
 
+def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Keys with more than `hot_rows` rows under names of their own, and the pairs of names.
+
+    Counting reads only the key columns and combines before the shuffle.
+    """
+    pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    return F.broadcast(counted.select(*[F.col(k).alias(h) for k, h in pairs])), pairs
+
+
 def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
     """Split rows into those of ordinary groups and those of groups with more than `hot_rows` rows.
 
-    Counting reads only the key columns and combines before the shuffle. When no group is hot, the
-    second frame's plan collapses at run time before its scan starts.
+    When no group is hot, the second frame's plan collapses at run time before its scan starts.
     """
-    pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
-    hot_keys = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows)
-        .select(*[F.col(k).alias(h) for k, h in pairs])
-    )
-    hot_keys = F.broadcast(hot_keys)
+    hot_keys, pairs = _hot_keys(df, keys, hot_rows)
     on = same_keys(df, hot_keys, pairs)
     return df.join(hot_keys, on, "left_anti"), df.join(hot_keys, on, "left_semi")
 
@@ -55,22 +54,19 @@ def lookup(
     on: str,
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Join rows to a table that has one row per key.
 
     The table's rows are counted first, reading no further than the limit. Up to the limit it is
-    broadcast. Beyond it both sides are shuffled, rows spread over `salts` pieces per key and the
-    table repeated once per piece, so a key with a third of all rows is shared by many tasks.
+    broadcast. Beyond it ordinary keys are joined by shuffle, and hot keys, of which there are at
+    most rows / hot_rows, are joined to a broadcast of just their entries.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup cannot do a {how!r} join")
     if table.select(on).limit(broadcast_rows + 1).count() <= broadcast_rows:
         return df.join(F.broadcast(table), on, how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
-    pieces = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    return (
-        df.withColumn("_salt", salt)
-        .join(table.withColumn("_salt", pieces), [on, "_salt"], how)
-        .drop("_salt")
-    )
+    ordinary, hot = split_hot(df, [on], hot_rows)
+    hot_keys, pairs = _hot_keys(df, [on], hot_rows)
+    entries = table.join(hot_keys, same_keys(table, hot_keys, pairs), "left_semi")
+    return ordinary.join(table, on, how).unionByName(hot.join(F.broadcast(entries), on, how))

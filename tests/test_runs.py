@@ -64,11 +64,15 @@ def test_log_thin(spark, broadcast_rows):
 
 
 def test_lookup_keeps_every_row_of_a_hot_key(spark):
-    facts = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id")
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 7 != 0, F.col("id"))
+    facts = spark.range(3000).select(key.alias("k"), "id")
     names = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") + 1).alias("name"))
     for how, n in (("inner", facts.where("k < 2000").count()), ("left", 3000)):
-        ways = [lookup(facts, names, "k", how, broadcast_rows=b).select("k", "id", "name").collect() for b in (5000, 10)]
-        assert len(ways[0]) == n and sorted(ways[0], key=str) == sorted(ways[1], key=str)
+        ways = [
+            sorted(lookup(facts, names, "k", how, b, hot).select("k", "id", "name").collect(), key=str)
+            for b, hot in ((5000, 100), (10, 100), (10, 5000))
+        ]
+        assert len(ways[0]) == n and ways[0] == ways[1] == ways[2]
     with pytest.raises(ValueError):
         lookup(facts, names, "k", "outer")
 
