@@ -28,6 +28,10 @@ def flat(messages: str) -> Column:
     return F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "|")
 
 
+def count_of(messages: str) -> Column:
+    return F.size(messages).cast("long")
+
+
 def odd_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations with unknown roles, and every fifth one stripped down to its system messages."""
     system_only = F.filter("messages", lambda m: m["role"] == "system")
@@ -37,19 +41,19 @@ def odd_conversations(spark: SparkSession, folder: str) -> DataFrame:
 
 def assemble(spark: SparkSession, folder: str) -> DataFrame:
     return conversations(spark, folder).select(
-        "conv_id", "part", F.size("messages").alias("n_messages"), flat("messages").alias("text")
+        "conv_id", "part", count_of("messages").alias("n_messages"), flat("messages").alias("text")
     )
 
 
 def normalize_conversations(spark: SparkSession, folder: str) -> DataFrame:
     good, _ = validate_messages(odd_conversations(spark, folder), ["messages"])
     records = get_source("traceinversion")(good, keep=["conv_id"])
-    return records.select("conv_id", F.size("messages").alias("n_messages"), flat("messages").alias("text"))
+    return records.select("conv_id", count_of("messages").alias("n_messages"), flat("messages").alias("text"))
 
 
 def reject_conversations(spark: SparkSession, folder: str) -> DataFrame:
     _, bad = validate_messages(odd_conversations(spark, folder), ["messages"])
-    return bad.select("conv_id", "reject_reason", F.size("messages").alias("n_messages"))
+    return bad.select("conv_id", "reject_reason", count_of("messages").alias("n_messages"))
 
 
 def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +65,7 @@ def reject_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def sft_messages(spark: SparkSession, folder: str) -> DataFrame:
     rows = get_format("sft", "trl")(get_source("traceinversion")(conversations(spark, folder)))
-    return rows.select(F.size("messages").alias("n_messages"), flat("messages").alias("text"))
+    return rows.select(count_of("messages").alias("n_messages"), flat("messages").alias("text"))
 
 
 def preference_format(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +148,7 @@ def common_prompt_split(spark: SparkSession, folder: str) -> DataFrame:
     split = preference_rows(spark, folder).select("conv_id", *[c.alias(n) for n, c in parts.items()])
     return split.select(
         "conv_id",
-        F.size("prompt").alias("n_prompt"),
+        count_of("prompt").alias("n_prompt"),
         flat("chosen").alias("chosen_text"),
         flat("rejected").alias("rejected_text"),
     )
@@ -193,7 +197,8 @@ QUERIES = {
 }
 
 ORACLE = {
-    "assemble_conversations": f"SELECT conv_id, 0 AS part, n_messages, text FROM {_grouped_sql(TURN_SQL)}",
+    "assemble_conversations": f"""SELECT conv_id, CAST(floor(turn / 1024) AS BIGINT) AS part, count(*) AS n_messages,
+        string_agg(role || ':' || content, '|' ORDER BY turn) AS text FROM {TURN_SQL} GROUP BY 1, 2""",
     "normalize_conversations": f"SELECT conv_id, n_messages, text FROM {_VERDICT} WHERE reject_reason IS NULL",
     "reject_conversations": f"""SELECT conv_id, reject_reason, n_messages FROM {_VERDICT}
         WHERE reject_reason IS NOT NULL""",

@@ -30,7 +30,7 @@ def sft_parquet_file(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_dir(spark)}/train.parquet"
     write_parquet(get_source("traceinversion")(conversations(spark, folder)), path)
     back = read_dataset(spark, path, schema=SFT)
-    return back.select(F.size("messages").alias("n_messages"), chats.flat("messages").alias("text"))
+    return back.select(chats.count_of("messages").alias("n_messages"), chats.flat("messages").alias("text"))
 
 
 def verl_parquet_file(spark: SparkSession, folder: str) -> DataFrame:

@@ -54,7 +54,7 @@ def prompt_group_expand(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def length_budget(spark: SparkSession, folder: str) -> DataFrame:
-    words = word_count(render_chat(F.col("messages")))
+    words = word_count(render_chat(F.col("messages"))).cast("long")
     flagged = S.length_budget(conversations(spark, folder), words, 400, flag_only=True)
     return flagged.select("conv_id", "length", "within_budget")
 

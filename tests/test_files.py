@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.schemas import CORPUS_RAW, MATH_RAW
+from gradeloom.session import shared_dir
 from gradeloom.sinks.writers import write_corpus_jsonl, write_jsonl, write_parquet
 from gradeloom.sources.adapters import from_corpus
 from gradeloom.sources.readers import read_dataset
@@ -25,6 +26,24 @@ def test_reading_one_split_prunes_the_others(spark, tmp_path):
         read_dataset(spark, str(tmp_path / "d"), fmt="csv")
 
 
+class _Stub:
+    """A session of a cluster that names no shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+
+def test_cluster_needs_a_shared_folder(spark):
+    assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert shared_dir(spark) != shared_dir(spark)
+    with pytest.raises(RuntimeError):
+        shared_dir(_Stub)
+
+
 def lines(path):
     return [json.loads(x) for f in Path(path).glob("part-*") for x in f.read_text("utf-8").splitlines()]
 

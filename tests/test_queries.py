@@ -9,6 +9,7 @@ from compare import connect, difference
 from gradeloom.plans import chats, grading, rollouts, samples
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
@@ -19,14 +20,13 @@ def con(small):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, small, con, name):
     df = QUERIES[name](spark, small)
-    if name in ORACLE:
-        assert difference(df, con, ORACLE[name]) is None
-    else:
-        assert df.count() > 0
+    types = {r[0]: r[1] for r in con.execute("DESCRIBE " + ORACLE[name]).fetchall()}
+    assert {k: TYPES[v] for k, v in df.dtypes} == types
+    assert difference(df, con, ORACLE[name]) is None
 
 
-def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(ORACLE) == set(QUERIES)
 
 
 def test_entry(spark):
