@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, language, packing, sharding, simhash, toxicity
+from gradeloom.llm import decontamination, embeddings, language, packing, sharding, simhash, toxicity
 from gradeloom.sources.readers import read_table
 
 SHARDS = 16
@@ -27,6 +27,12 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    found = embeddings.near_links(read_table(spark, folder, "embeddings"))
+    kept = F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))
+    return found.select("vec_id", "n_links", "component_id", kept.alias("kept"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -69,6 +75,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_embeddings": op2_embeddings,
     "op5_simhash": op5_simhash,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
