@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, embeddings, language, packing, sharding, simhash, toxicity
+from gradeloom.llm import decontamination, embeddings, language, packing, pii, sharding, simhash, toxicity
 from gradeloom.sources.readers import read_table
 
 SHARDS = 16
@@ -39,6 +39,13 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    found = docs.select("doc_id", pii.find(pii.fit(docs)).alias("f"))
+    counts = [F.expr(f"cast(size(filter(f.base, m -> m.k = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.span_list("f.base"), 256).alias("base_sha256"), pii.span_list("f.spans").alias("spans"))
+
+
 def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(
         read_table(spark, folder, "documents"),
@@ -77,6 +84,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embeddings": op2_embeddings,
     "op5_simhash": op5_simhash,
+    "op6_pii": op6_pii,
     "op7_packing": op7_packing,
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
