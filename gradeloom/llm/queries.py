@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, embeddings, language, packing, pii, sharding, simhash, toxicity
+from gradeloom.llm import decontamination, embeddings, language, packing, pii, quotation, revisits, sharding, simhash, toxicity
 from gradeloom.sources.readers import read_table
 
 SHARDS = 16
@@ -33,6 +33,46 @@ def op2_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("vec_id", "n_links", "component_id", kept.alias("kept"))
 
 
+def quoted_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations as mail: a turn quotes the turn before it, which quotes the one before that."""
+    own = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+
+    def back(by: int, mark: str, name: str) -> DataFrame:
+        lines = F.transform(F.split("text", "\n"), lambda line: F.concat(F.lit(mark), line))
+        return own.select("conv_id", (F.col("turn") + by).alias("turn"), F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias(name))
+
+    mail = own.join(back(1, "> ", "q1"), ["conv_id", "turn"], "left").join(back(2, "> > ", "q2"), ["conv_id", "turn"], "left")
+    text = F.concat(F.coalesce("q2", F.lit("")), F.coalesce("q1", F.lit("")), F.col("text"))
+    return mail.select(F.concat_ws("/", "conv_id", "turn").alias("message_id"), "conv_id", F.col("turn").alias("sent"), text.alias("text"))
+
+
+def op3_quotation(spark: SparkSession, folder: str) -> DataFrame:
+    mail = quoted_messages(read_table(spark, folder, "conversations"))
+    return quotation.conversations(mail, scope="conv_id")
+
+
+def capture_records(pages: DataFrame) -> DataFrame:
+    """Pages as crawl records: each was fetched in full at second 100 * page_id and asked for again
+    two days later, when the server said it was not modified; pages of an even number of
+    bytes were asked for once more, a second before the full response."""
+    etag, t = F.concat(F.lit('"'), F.md5("html"), F.lit('"')), F.col("page_id") * 100
+    full = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("content-length"), F.octet_length("html").cast("string"), F.lit("etag"), etag, F.lit("x-served"), F.lit("full"))
+    again = F.create_map(F.lit("ETag"), etag, F.lit("Date"), t.cast("string"), F.lit("Content-Length"), F.lit("0"), F.lit("X-Served"), F.lit("again"))
+    kinds = [("response", 0, 0, full), ("revisit", 1, 172_800, again), ("revisit", 2, -1, again)]
+    records = [
+        F.struct((F.col("page_id") * 4 + n).alias("record_id"), F.lit(kind).alias("kind"), "url", (t + shift).alias("at"), headers.alias("headers"))
+        for kind, n, shift, headers in kinds
+    ]
+    early = F.octet_length("html") % 2 == 0
+    return pages.select(F.explode(F.when(early, F.array(*records)).otherwise(F.array(*records[:2]))).alias("r")).select("r.*")
+
+
+def op4_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(capture_records(read_table(spark, folder, "pages")))
+    headers = F.array_join(F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))), "\n")
+    return found.select("record_id", "url_key", "at", "refers_to", "state", headers.alias("headers"))
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, folder, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -83,6 +123,8 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embeddings": op2_embeddings,
+    "op3_quotation": op3_quotation,
+    "op4_revisits": op4_revisits,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
     "op7_packing": op7_packing,
@@ -99,7 +141,43 @@ _SHINGLES = """
       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')
       if x <> ''] AS w FROM {table}))"""
 
+_KEY = """regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^www[0-9]*[.]', ''), ':(80|443)$', '')
+    || regexp_replace(regexp_extract(substr(bare, length(regexp_extract(bare, '^[^/?]*', 0)) + 1), '^[^?]*', 0), '/+$', '')
+    || CASE WHEN len(params) > 0 THEN '?' || array_to_string(list_sort(params), '&') ELSE '' END"""
+
 ORACLE = {
+    "op3_quotation": """WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text, concat(conv_id, '/', turn) AS id,
+    trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')) AS unit FROM conversations),
+u AS (SELECT conv_id, turn, id, unit FROM c WHERE unit <> ''
+  UNION SELECT conv_id, turn, id, trim(regexp_replace(lower(x), '\\s+', ' ', 'g'))
+    FROM (SELECT conv_id, turn, id, unnest(string_split(text, chr(10))) AS x FROM c)
+    WHERE trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) <> ''),
+q AS (SELECT b.id, b.conv_id, b.turn, d, a.unit, a.id AS quoted FROM range(1, 3) r(d), c b JOIN c a
+    ON a.conv_id = b.conv_id AND a.turn = b.turn - d),
+l AS (SELECT q.id, q.d, min(struct_pack(t := u.turn, i := u.id)) FILTER (u.conv_id = q.conv_id) AS near,
+    min(struct_pack(t := u.turn, i := u.id)) AS far FROM q LEFT JOIN u ON u.unit = q.unit AND u.turn < q.turn GROUP BY q.id, q.d),
+o AS (SELECT id, d, coalesce(near, far) AS o FROM l),
+p AS (SELECT c.id, c.turn, c.text, (SELECT arg_min(o.o.i, o.d) FROM o WHERE o.id = c.id AND o.o IS NOT NULL) AS parent,
+    (SELECT count(*) FROM o WHERE o.id = c.id) AS n_quotes, (SELECT count(o.o) FROM o WHERE o.id = c.id) AS n_linked FROM c),
+t AS (SELECT id, id AS root, 0 AS level FROM p WHERE parent IS NULL
+  UNION ALL SELECT p.id, t.root, t.level + 1 FROM p JOIN t ON p.parent = t.id)
+SELECT p.id AS message_id, parent AS parent_id, root AS thread_id, level::INT AS level,
+  row_number() OVER (PARTITION BY root ORDER BY level, turn, p.id) - 1 AS place, n_quotes, n_linked,
+  trim(text, ' ' || chr(9) || chr(10) || chr(13)) AS body
+FROM p JOIN t USING (id)""",
+    "op4_revisits": f"""WITH k AS (SELECT page_id, html, {_KEY} AS url_key
+  FROM (SELECT *, [x for x in string_split(regexp_extract(bare, '[?](.*)$', 1), '&') if x <> '' AND NOT starts_with(x, 'utm_')] AS params
+  FROM (SELECT page_id, html, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages))),
+v AS (SELECT page_id * 4 + 1 AS record_id, page_id, html, url_key, page_id * 100 + 172800 AS at FROM k
+  UNION ALL SELECT page_id * 4 + 2, page_id, html, url_key, page_id * 100 - 1 FROM k WHERE strlen(html) % 2 = 0),
+r AS (SELECT page_id * 4 AS record_id, html, url_key, page_id * 100 AS at FROM k)
+SELECT v.record_id, v.url_key, v.at, CASE WHEN r.html = v.html THEN r.record_id END AS refers_to,
+  CASE WHEN r.record_id IS NULL THEN 'no earlier response' WHEN r.html <> v.html THEN 'validators differ'
+    ELSE 'resolved' END AS state,
+  CASE WHEN r.html = v.html THEN concat_ws(chr(10), concat('content-length: ', strlen(r.html)), 'content-type: text/html',
+    concat('date: ', v.page_id * 100), concat('etag: "', md5(v.html), '"'), 'x-served: full') END AS headers
+FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.at > r.at""",
     "op8_decontamination": "WITH "
     + _SHINGLES.format(name="items", id="item_id", table="benchmark")
     + ","

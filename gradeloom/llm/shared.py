@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.session import shared_dir
@@ -38,19 +38,13 @@ def numbered(df: DataFrame, order: list[Column | str], name: str) -> tuple[DataF
     """`df` with the gapless place of each row in the order of `order`, from 0, and the row count.
 
     One shuffle. Rows are counted per partition, and only these counts (one row per partition) are
-    summed up in one place; no window spans a whole key.
+    summed up in one task; no window spans a whole key.
     """
     placed = keep(in_order(df, order).withColumn(name, F.monotonically_increasing_id()))
     split = F.shiftright(F.col(name), 33)
-    counts = placed.groupBy(split.alias(_SPLIT)).agg(F.count("*").alias("n")).collect()  # one row per partition
-    start, starts = 0, []
-    for part, n in sorted((r[_SPLIT], r["n"]) for r in counts):
-        starts.append((part, start))
-        start += n
-    if not starts:
-        return placed, 0
-    schema = f"{_SPLIT} long, {_ROW} long"
-    offsets = df.sparkSession.createDataFrame(starts, schema)
+    counts = placed.groupBy(split.alias(_SPLIT)).agg(F.count("*").alias("n"))
+    before = Window.orderBy(_SPLIT).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(_SPLIT, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_ROW))  # one row per partition
     within = F.col(name).bitwiseAND(F.lit((1 << 33) - 1))
-    out = placed.withColumn(_SPLIT, split).join(F.broadcast(offsets), _SPLIT)
-    return out.withColumn(name, within + F.col(_ROW)).drop(_SPLIT, _ROW), start
+    out = placed.withColumn(_SPLIT, split).join(F.broadcast(starts), _SPLIT)
+    return out.withColumn(name, within + F.col(_ROW)).drop(_SPLIT, _ROW), placed.count()
