@@ -1,0 +1,53 @@
+import random
+
+from pyspark.sql import functions as F
+
+from gradeloom.llm import language as L
+
+VOCABULARY = {"aa": "the and that with from have this there", "bb": "und der die nicht auch eine für über", "cc": "les des une est dans pour avec être"}
+
+
+def text(lang, n, rnd):
+    return " ".join(rnd.choice(VOCABULARY[lang].split()) for _ in range(n))
+
+
+def test_held_out_accuracy_ties_and_odd_texts(spark):
+    rnd = random.Random(1)
+    rows = [(i, text(lang, rnd.randint(3, 60), rnd), lang, 0.5) for i, lang in enumerate(list(VOCABULARY) * 200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    odd = [(None, None), (1, ""), (2, "12 34 !!"), (3, "qq"), (4, text("bb", 60_000, rnd)), (4, text("bb", 40, rnd))]
+    test = [(10_000 + i, text(lang, 12, rnd)) for i, lang in enumerate(list(VOCABULARY) * 30)]
+    nulls = spark.createDataFrame([(None, None, None, None), (7, "x", None, None), (8, None, "aa", None), (9, "", "zz", None)], train.schema)
+    model = L.fit(train.union(nulls))
+    assert set(model.dictionaries) == set(VOCABULARY)
+    df = spark.createDataFrame(odd + test, "doc_id long, text string").withColumn("lang_pred", F.lit("x"))
+    got = L.identify(df, model).collect()
+    assert len(got) == len(odd) + len(test)
+    right = [r["lang_pred"] == list(VOCABULARY)[(r["doc_id"] - 10_000) % 3] for r in got if (r["doc_id"] or 0) >= 10_000]
+    assert sum(right) >= 0.98 * len(right)
+    by = {}
+    for r in got:
+        by.setdefault(r["doc_id"], []).append(r)
+    assert all(0 <= r["score"] <= 1 for r in got)
+    for k in (None, 1, 2):
+        assert [(r["lang_pred"], r["score"], r["accepted"]) for r in by[k]] == [("und", 0.0, False)]
+    assert by[3][0]["lang_pred"] in VOCABULARY and not by[3][0]["accepted"]
+    assert [r["lang_pred"] for r in by[4]] == ["bb", "bb"]
+    kept = L.accepted_rows(df, model)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in got if r["accepted"])
+
+
+def test_no_language_and_one_language(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string")
+    model = L.fit(none)
+    assert model.dictionaries == {} and L.identify(none, model).collect() == []
+    one = spark.createDataFrame([(1, "hello there", "aa")], none.schema)
+    assert [(r["lang_pred"], r["accepted"]) for r in L.identify(one, L.fit(one)).collect()] == [("aa", True)]
+    assert [r["lang_pred"] for r in L.identify(one, model).collect()] == ["und"]
+
+
+def test_sample_is_bounded(spark):
+    df = spark.range(5000).selectExpr("id doc_id", "concat('word', id, ' text') text", "'aa' lang")
+    data = L.fit(df, texts_per_language=50, dictionary_chars=500).dictionaries["aa"].decode()
+    assert 20 <= len(data.split("\n")) <= 100 and all(len(t) <= 10 for t in data.split("\n"))
