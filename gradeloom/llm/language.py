@@ -51,7 +51,7 @@ class Compression:
         """Language, score and margin: how much larger the second smallest encoding is, as a share."""
         if not text or not self.dictionaries or not LETTER.search(text):
             return UNKNOWN, 0.0, 0.0
-        data = text.lower().encode("utf-8", "surrogatepass")
+        data = f" {text.lower()} ".encode("utf-8", "surrogatepass")
         blocks = [data[i : i + self.block] for i in range(0, len(data), self.block)]
         sizes = dict.fromkeys(self.dictionaries, 0)
         for by_lang in encoders:
@@ -127,9 +127,10 @@ def accepted_rows(df: DataFrame, model: Compression, min_margin: float = 0.0, te
     names = df.columns
 
     @F.pandas_udf("boolean")
-    def accepted(texts: pd.Series) -> pd.Series:
+    def accepted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoders = model.encoders()
-        judged = (model.judge(t, encoders) for t in texts)
-        return pd.Series([lang != UNKNOWN and margin > min_margin for lang, _, margin in judged], dtype=bool)
+        for texts in batches:
+            judged = (model.judge(t, encoders) for t in texts)
+            yield pd.Series([lang != UNKNOWN and margin > min_margin for lang, _, margin in judged], dtype=bool)
 
     return df.where(accepted(F.col(text))).select(*names)

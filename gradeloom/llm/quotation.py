@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.llm.shared import keep, numbered
 
-MARKS = r"^[ \t]*(?:>[ \t]*)+"
+MARKS = r"^[ \t]*+(?:>[ \t]*+)++"
 
 
 def _let(value: str, name: str, body: str) -> str:
