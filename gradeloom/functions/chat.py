@@ -16,9 +16,12 @@ def render_block(role: Column, content: Column) -> Column:
     return F.concat(F.lit(START), role, F.lit("\n"), content, F.lit(END + "\n"))
 
 
-def render_chat(messages: Column, add_generation_prompt: bool = False) -> Column:
-    """A conversation as chat text, optionally with the cue that asks for the next answer."""
+def render_chat(messages: Column, add_generation_prompt: bool | Column = False) -> Column:
+    """A conversation as chat text, optionally with the cue that asks for the next answer. The cue may
+    hang on a condition, so that only the last part of a long conversation gets it."""
     text = F.array_join(F.transform(messages, lambda m: render_block(m["role"], m["content"])), "")
+    if isinstance(add_generation_prompt, Column):
+        return F.concat(text, F.when(add_generation_prompt, F.lit(CUE)).otherwise(F.lit("")))
     return F.concat(text, F.lit(CUE)) if add_generation_prompt else text
 
 

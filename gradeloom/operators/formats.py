@@ -9,15 +9,22 @@ from gradeloom.functions.chat import resolve_chat_template
 
 Format = Callable[[DataFrame], DataFrame]
 
+# Long conversations are stored in parts; these columns say which rows belong together.
+LAYOUT = ("conv_id", "part", "n_parts")
+
+
+def _layout(df: DataFrame) -> list[str]:
+    return [c for c in LAYOUT if c in df.columns]
+
 
 def to_trl(df: DataFrame) -> DataFrame:
     """SFT rows: one `messages` column."""
-    return df.select("messages")
+    return df.select(*_layout(df), "messages")
 
 
 def to_trl_dpo(df: DataFrame) -> DataFrame:
     """Preference rows whose prompt is the shared start of both sides."""
-    return df.select("chosen", "rejected")
+    return df.select(*_layout(df), "chosen", "rejected")
 
 
 def to_trl_grpo(df: DataFrame) -> DataFrame:
@@ -27,7 +34,7 @@ def to_trl_grpo(df: DataFrame) -> DataFrame:
 
 def to_trl_online_dpo(df: DataFrame) -> DataFrame:
     """Prompt only; both sides of a pair are generated later."""
-    return df.select("prompt")
+    return df.select(*_layout(df), "prompt")
 
 
 def to_verl_grpo(df: DataFrame) -> DataFrame:
@@ -41,6 +48,7 @@ def to_slime_grpo(df: DataFrame) -> DataFrame:
     return df.select("prompt", F.col("answer").alias("label"))
 
 
+# Which method and framework read which row shape.
 _FORMATS: dict[str, dict[str, Format]] = {
     "sft": {"trl": to_trl, "unsloth": to_trl, "verl": to_trl, "slime": to_trl},
     "dpo": {"trl": to_trl_dpo, "unsloth": to_trl_dpo},

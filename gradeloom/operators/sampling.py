@@ -177,6 +177,13 @@ def length_budget(df: DataFrame, length: Column, limit: int, flag_only: bool = F
     return df.withColumn("length", length).withColumn("within_budget", F.col("length") <= limit)
 
 
+def mark_split(
+    df: DataFrame, keys: list[str], fraction: float, seed: int = 42, names: tuple[str, str] = ("train", "validation")
+) -> DataFrame:
+    """Add `split` by key in one pass, for files that are written with `partitionBy("split")`."""
+    return df.withColumn("split", F.when(in_validation(seed, keys, fraction), F.lit(names[1])).otherwise(F.lit(names[0])))
+
+
 def split_train_validation(
     df: DataFrame, keys: list[str], fraction: float, seed: int = 42, val_equals_train: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gradeloom.operators.sampling import split_train_validation
+from gradeloom.operators.sampling import mark_split
 from gradeloom.plans import chats, corpora
 from gradeloom.plans.inputs import MATH_SQL, conversations, math_problems
 from gradeloom.schemas import CORPUS_RAW, MATH_RAW, MESSAGES, SAMPLE, SFT
@@ -28,9 +28,11 @@ SLIME_FILE = T.StructType([T.StructField("prompt", T.StringType()), SAMPLE["labe
 
 def sft_parquet_file(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_dir(spark)}/train.parquet"
-    write_parquet(get_source("traceinversion")(conversations(spark, folder)), path)
-    back = read_dataset(spark, path, schema=SFT)
-    return back.select(chats.count_of("messages").alias("n_messages"), chats.flat("messages").alias("text"))
+    layout = ["conv_id", "part", "n_parts"]
+    records = get_source("traceinversion")(conversations(spark, folder), keep=layout)
+    write_parquet(records, path)
+    back = read_dataset(spark, path, schema=T.StructType([*records.select(*layout).schema, *SFT]))
+    return back.select(*layout, chats.count_of("messages").alias("n_messages"), chats.flat("messages").alias("text"))
 
 
 def verl_parquet_file(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,8 +63,7 @@ def corpus_jsonl_file(spark: SparkSession, folder: str) -> DataFrame:
 def dataset_split(spark: SparkSession, folder: str) -> DataFrame:
     """Store raw problems under config and split folders; grade-ready records of one split come back."""
     path = f"{shared_dir(spark)}/math"
-    train, test = split_train_validation(math_problems(spark, folder), ["o_orderkey"], 0.1)
-    stored = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    stored = mark_split(math_problems(spark, folder), ["o_orderkey"], 0.1, names=("train", "test"))
     write_parquet(stored.drop("o_orderkey").withColumn("config", F.lit("main")), path, ["config", "split"])
     raw = read_dataset(spark, path, "main", "test", MATH_RAW)
     records = get_source("gsm8k")(raw)

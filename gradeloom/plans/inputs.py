@@ -7,7 +7,7 @@ understand, so the two sides start from the same rows.
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.operators.conversations import assemble_conversations
+from gradeloom.operators.conversations import assemble_conversations, is_last_part
 from gradeloom.sources.readers import read_table
 
 _Q = "CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING)"
@@ -148,16 +148,33 @@ def math_problems(spark: SparkSession, folder: str) -> DataFrame:
     return df.select("o_orderkey", "question", F.concat(F.lit("Add up the lines.\n#### "), tail).alias("answer"))
 
 
-def conversations(spark: SparkSession, folder: str, turns: dict[str, str] = TURN) -> DataFrame:
-    return assemble_conversations(derive(read_table(spark, folder, "conversations"), turns), content="content")
+# Events as conversations of thousands of turns, far beyond the size of a part.
+LONG_TURN = {
+    "conv_id": "event_id % 5",
+    "turn": "CAST(floor(event_id / 5) AS BIGINT)",
+    "role": """CASE WHEN event_id % 5 = 3 AND floor(event_id / 5) = 3 THEN 'wizard'
+        WHEN floor(event_id / 5) % 2 = 0 THEN 'user' WHEN event_id % 5 = 4 THEN 'system' ELSE 'assistant' END""",
+    "content": "event_type || ' ' || CAST(user_id AS STRING)",
+}
+LONG_TURN_SQL = _select(LONG_TURN, "events")
+
+
+def conversations(
+    spark: SparkSession, folder: str, turns: dict[str, str] = TURN, table: str = "conversations", part_turns: int | None = None
+) -> DataFrame:
+    rows = derive(read_table(spark, folder, table), turns)
+    return assemble_conversations(rows, content="content", part_turns=part_turns)
 
 
-def preference_rows(spark: SparkSession, folder: str) -> DataFrame:
+def preference_rows(spark: SparkSession, folder: str, part_turns: int | None = None) -> DataFrame:
     """A conversation as chosen, and as rejected the same with its last message cut to 20 characters."""
     last = F.element_at("messages", -1)
     cut = F.struct(last["role"].alias("role"), F.substring(last["content"], 1, 20).alias("content"))
-    rejected = F.array_append(F.slice("messages", 1, F.size("messages") - 1), cut)
-    return conversations(spark, folder).select("conv_id", F.col("messages").alias("chosen"), rejected.alias("rejected"))
+    shorter = F.array_append(F.slice("messages", 1, F.size("messages") - 1), cut)
+    rejected = F.when(is_last_part(), shorter).otherwise(F.col("messages"))
+    return conversations(spark, folder, part_turns=part_turns).select(
+        "conv_id", "part", "n_parts", F.col("messages").alias("chosen"), rejected.alias("rejected")
+    )
 
 
 def corpus_lines(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions.chat import render_chat
 from gradeloom.functions.text import word_count
 from gradeloom.operators import sampling as S
+from gradeloom.operators.conversations import with_whole
 from gradeloom.plans.inputs import TURN_SQL, conversations
 from gradeloom.sources.readers import read_table
 
@@ -54,15 +55,15 @@ def prompt_group_expand(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def length_budget(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the whole conversation against the limit; its parts share the verdict."""
     words = word_count(render_chat(F.col("messages"))).cast("long")
-    flagged = S.length_budget(conversations(spark, folder), words, 400, flag_only=True)
-    return flagged.select("conv_id", "length", "within_budget")
+    counted = with_whole(conversations(spark, folder).withColumn("words", words), {"whole": (F.sum("words"), F.col("words"))})
+    flagged = S.length_budget(counted, F.col("whole"), 400, flag_only=True)
+    return flagged.select("conv_id", "part", "n_parts", "length", "within_budget")
 
 
 def hash_split(spark: SparkSession, folder: str) -> DataFrame:
-    train, validation = S.split_train_validation(_orders(spark, folder), _KEY, 0.1, SEED)
-    marked = [train.withColumn("part", F.lit("train")), validation.withColumn("part", F.lit("validation"))]
-    return marked[0].unionByName(marked[1]).select("o_orderkey", "part")
+    return S.mark_split(_orders(spark, folder), _KEY, 0.1, SEED).select("o_orderkey", F.col("split").alias("part"))
 
 
 _ORDER = "md5('42:0:' || o_orderkey), o_orderkey"
@@ -94,8 +95,8 @@ ORACLE = {
     "resume_epoch": f"SELECT * FROM {_PLACED} WHERE pos >= 1000",
     "batch_plan": f"""SELECT o_orderkey, CAST(floor(pos / 256) AS BIGINT) AS step, pos % 256 AS slot FROM {_PLACED}""",
     "prompt_group_expand": "SELECT o_orderkey, g AS sample_no FROM orders, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS t(g)",
-    "length_budget": f"""SELECT conv_id, n AS length, n <= 400 AS within_budget FROM (
-        SELECT conv_id, len(regexp_extract_all(string_agg(
+    "length_budget": f"""SELECT conv_id, unnest(range(n_parts)) AS part, n_parts, n AS length, n <= 400 AS within_budget
+        FROM (SELECT conv_id, CAST(floor(max(turn) / 1024) AS BIGINT) + 1 AS n_parts, len(regexp_extract_all(string_agg(
             '<|im_start|>' || role || chr(10) || content || '<|im_end|>' || chr(10), '' ORDER BY turn),
             '[^\\s\\p{{Z}}]+')) AS n
         FROM {TURN_SQL} GROUP BY conv_id)""",
