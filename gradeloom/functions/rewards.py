@@ -134,11 +134,15 @@ def score_by_source(data_source: Column, text: Column, gold: Column, fail: bool
     return routed.otherwise(F.raise_error(message).cast("double"))
 
 
-def completion_text(df: DataFrame, name: str) -> Column:
-    """The text to grade: the last message's content, or the column as a string."""
+def completion_text(df: DataFrame, name: str, fail: bool = True) -> Column:
+    """The text to grade: the last message's content, or the column as a string.
+
+    A completion without messages fails the job, or with `fail=False` has a null text.
+    """
     column = F.col(name)
     if isinstance(df.schema[name].dataType, T.ArrayType):
-        return F.element_at(column, -1)["content"]
+        last = F.element_at(column, -1) if fail else F.try_element_at(column, F.lit(-1))
+        return last["content"]
     return F.coalesce(column.cast("string"), F.lit("None"))
 
 

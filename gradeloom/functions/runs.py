@@ -99,4 +99,5 @@ def log_every() -> Column:
 
 
 def is_logged(step: Column, every: Column) -> Column:
-    return (step == 1) | (step % every == 0)
+    """An interval below one logs the first step alone."""
+    return (step == 1) | F.when(every > 0, F.try_mod(step, every) == 0).otherwise(F.lit(False))

@@ -3,7 +3,7 @@
 A_t = delta_t + g * A_(t+1), with delta_t = r_t + gamma * V_(t+1) - V_t and g = gamma * lambda.
 A trajectory is cut into chunks of consecutive steps. Inside a chunk, A is a suffix sum of
 g^k * delta_k divided by g^k, which a window computes. What flows into a chunk from the later ones
-is one number, obtained from one row per later chunk.
+is one number, obtained from one row per later chunk; long tables of chunks are cut up the same way.
 """
 
 import math
@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHUNK = 4096
+# Chunks that one window spans.
+FAN = 4096
 # Smallest g^k that a chunk may reach, far above what a double can still hold.
 _SMALLEST = 1e-150
 
@@ -35,6 +37,19 @@ def _local_advantage(rows: DataFrame, keys: list[str], step: str, reward: Column
     return rows.withColumn("_local", suffix / weight)
 
 
+def _longest(df: DataFrame, keys: list[str], step: str) -> int:
+    """Steps of the longest trajectory. Steps that are not 0, 1, 2, ... in each trajectory are refused:
+    a missing one would silently shift what all steps before it get."""
+    n, x = F.count(F.lit(1)), F.col(step).cast("decimal(38,0)")
+    sums = df.groupBy(*keys).agg(n.alias("n"), F.max(x).alias("top"), F.sum(x).alias("s"), F.count(x).alias("known"))
+    n, top = F.col("n").cast("decimal(20,0)"), F.col("top")
+    whole = (F.col("known") == n) & (top == n - 1) & (F.col("s") * 2 == n * (n - 1))
+    found = sums.agg(F.max("n").alias("n"), F.count_if(~F.coalesce(whole, F.lit(False))).alias("bad")).first()
+    if found["bad"]:
+        raise ValueError(f"{found['bad']} trajectories do not count their steps 0, 1, 2, ...")
+    return found["n"] or 0
+
+
 def gae(
     df: DataFrame,
     keys: list[str],
@@ -44,15 +59,14 @@ def gae(
     gamma: float = 1.0,
     lam: float = 1.0,
     chunk: int = CHUNK,
-    max_steps: int | None = None,
+    fan: int = FAN,
 ) -> DataFrame:
     """Add `advantage` and `value_target` (advantage + value).
 
-    `step` counts 0, 1, 2, ... within a trajectory. The value after the last step is 0. Rows are
-    shuffled once, on trajectory and chunk, so a trajectory with a third of all rows is shared by
-    many tasks; only steps from `chunk` on are read a second time. `max_steps` is the length of the
-    longest trajectory, usually a generation limit; when not given, one pass over the step column
-    finds it.
+    `step` counts 0, 1, 2, ... within a trajectory, which one pass over the step column checks. The value
+    after the last step is 0. Rows are shuffled once, on trajectory and chunk, so a trajectory with a
+    third of all rows is shared by many tasks; only steps from `chunk` on are read a second time. One row
+    per chunk is worked up in turn by `fan` rows at a time, so no window spans a whole trajectory.
     """
     if not (0.0 <= gamma <= 1.0 and 0.0 <= lam <= 1.0):
         raise ValueError("gamma and lam must be between 0 and 1")
@@ -62,23 +76,21 @@ def gae(
     number = F.floor(F.col(step) / size).cast("long")
     rows = df.withColumns({"_chunk": number, "_k": (F.col(step) - number * size).cast("int")})
     done = _local_advantage(rows, keys, step, r, v, gamma, g).withColumn("advantage", F.col("_local"))
-    if max_steps is None:
-        max_steps = (df.agg(F.max(step)).first()[0] or 0) + 1
-    chunks = -(-max_steps // size)
+    chunks = -(-_longest(df, keys, step) // size)
     if chunks > 1:
-        inflow = _inflow(rows.where(F.col(step) >= size), keys, step, r, v, gamma, g, chunks)
+        inflow = _inflow(rows.where(F.col(step) >= size), keys, step, r, v, gamma, g, chunks, fan)
         carried = F.pow(F.lit(g), F.lit(size - 1) - F.col("_k")) * F.coalesce(F.col("_inflow"), F.lit(0.0))
         done = done.join(inflow, [*keys, "_chunk"], "left").withColumn("advantage", F.col("_local") + carried)
     done = done.withColumn("value_target", F.col("advantage") + v)
     return done.select(*df.columns, "advantage", "value_target")
 
 
-def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column, gamma, g, n_chunks: int) -> DataFrame:
+def _inflow(
+    later: DataFrame, keys: list[str], step: str, r: Column, v: Column, gamma, g, n_chunks: int, fan: int
+) -> DataFrame:
     """`(keys, _chunk, _inflow)`: what the chunks after `_chunk` add to its last step.
 
-    The advantage at the first step of chunk c is a_c + b_c * (that of chunk c+1). Each round below
-    replaces a chunk's (a, b) by their composition with the chunk 2^i further on, so after i rounds
-    they span 2^i chunks. All rounds share one partitioning and sort of one row per chunk.
+    The advantage at the first step of chunk c is a_c + b_c * (that of chunk c+1).
     """
     local = _local_advantage(later, keys, step, r, v, gamma, g)
     chunks = local.groupBy(*keys, "_chunk").agg(
@@ -86,24 +98,47 @@ def _inflow(later: DataFrame, keys: list[str], step: str, r: Column, v: Column,
         F.max(F.when(F.col("_k") == 0, v)).alias("_v"),
         F.count(F.lit(1)).alias("_n"),
     )
-    forward = W.partitionBy(*keys).orderBy("_chunk")
-
-    def ahead(name: str, distance: int) -> Column:
-        return F.coalesce(F.lead(name, distance).over(forward), F.lit(0.0))
-
-    chunks = chunks.withColumn("_next_v", ahead("_v", 1)).withColumns(
-        {
-            "_a": F.col("_a") + F.pow(F.lit(g), F.col("_n") - 1) * F.lit(gamma) * F.col("_next_v"),
-            "_b": F.pow(F.lit(g), F.col("_n")),
-        }
+    following = chunks.select(*keys, (F.col("_chunk") - 1).alias("_chunk"), F.col("_v").alias("_next_v"))
+    next_v = F.coalesce(F.col("_next_v"), F.lit(0.0))
+    pairs = chunks.join(following, [*keys, "_chunk"], "left").select(
+        *keys,
+        "_chunk",
+        "_v",
+        (F.col("_a") + F.pow(F.lit(g), F.col("_n") - 1) * F.lit(gamma) * next_v).alias("_a"),
+        F.pow(F.lit(g), F.col("_n")).alias("_b"),
     )
-    for i in range(math.ceil(math.log2(n_chunks))):
-        chunks = chunks.withColumns({"_far_a": ahead("_a", 2**i), "_far_b": ahead("_b", 2**i)})
-        chunks = chunks.withColumns(
-            {"_a": F.col("_a") + F.col("_b") * F.col("_far_a"), "_b": F.col("_b") * F.col("_far_b")}
-        )
-    return chunks.select(
+    return _solved(pairs, keys, n_chunks, fan).select(
         *keys,
         (F.col("_chunk") - 1).alias("_chunk"),
         (F.lit(gamma) * F.col("_v") + F.lit(g) * F.col("_a")).alias("_inflow"),
     )
+
+
+def _solved(pairs: DataFrame, keys: list[str], n: int, fan: int) -> DataFrame:
+    """`pairs` (keys, _chunk, _a, _b and others) with `_a` replaced by x_c = a_c + b_c * x_(c+1).
+
+    Each round replaces (a, b) by their composition with the pair 2^i further on, so after i rounds they
+    span 2^i pairs. Rounds share one partitioning and sort, over `fan` pairs at most. If there are more,
+    the first pairs of each such piece are solved by themselves and handed on to the pieces before.
+    """
+    pieces = pairs.withColumn("_piece", F.floor(F.col("_chunk") / fan).cast("long"))
+    forward = W.partitionBy(*keys, "_piece").orderBy("_chunk")
+
+    def ahead(name: str, distance: int, beyond: float) -> Column:
+        return F.coalesce(F.lead(name, distance).over(forward), F.lit(beyond))
+
+    for i in range(math.ceil(math.log2(max(2, min(n, fan))))):
+        pieces = pieces.withColumns({"_far_a": ahead("_a", 2**i, 0.0), "_far_b": ahead("_b", 2**i, 1.0)})
+        pieces = pieces.withColumns(
+            {"_a": F.col("_a") + F.col("_b") * F.col("_far_a"), "_b": F.col("_b") * F.col("_far_b")}
+        )
+    pieces = pieces.drop("_far_a", "_far_b")
+    if n <= fan:
+        return pieces.drop("_piece")
+    # The first pair of a piece now spans the piece. Chunk 0 needs no inflow and is not in `pairs`.
+    first = F.col("_chunk") == F.greatest(F.col("_piece") * fan, F.lit(1))
+    heads = pieces.where(first).select(*keys, F.col("_piece").alias("_chunk"), "_a", "_b")
+    above = _solved(heads, keys, -(-n // fan), fan)
+    above = above.select(*keys, (F.col("_chunk") - 1).alias("_piece"), F.col("_a").alias("_beyond"))
+    joined = pieces.join(above, [*keys, "_piece"], "left")
+    return joined.withColumn("_a", F.col("_a") + F.col("_b") * F.coalesce("_beyond", F.lit(0.0))).drop("_piece", "_beyond")

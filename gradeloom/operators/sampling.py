@@ -83,44 +83,55 @@ def subsample_exact(
 ) -> DataFrame:
     """Exactly min(n, rows) rows, the same ones for everyone who uses the seed; no n means all rows.
 
-    A small n is a top-n. For a large n, two passes over the key columns find the last row that
-    still belongs to the sample, and the sample is a filter over the table: whole rows are read
-    once and not shuffled.
+    The order is that of a hash of the key, then of a hash of the whole row, so it does not hang on files
+    or partitions even where many rows share a key; which of several equal rows is taken makes no
+    difference. A small n is a top-n. For a large n, copies of each key are counted and the last key that
+    belongs to the sample is found; the sample is then a filter over the table, and only the rows of that
+    one key are looked at again, by their hash.
     """
     if not n:
         return df
+    everything = [*keys, *[c for c in df.columns if c not in keys]]
     if n <= top_rows:
-        return df.orderBy(order_hash(seed, keys), *keys).limit(n)
+        return df.orderBy(order_hash(seed, keys), *keys, order_hash(seed, everything), *everything).limit(n)
+    return _first_rows(df, n, keys, everything, seed, prefix)
+
+
+def _first_rows(df: DataFrame, n: int, keys: list[str], everything: list[str], seed: int, prefix: int) -> DataFrame:
     last = _last_of_sample(df, n, keys, seed, prefix)
     if last is None:
         return df
     place = F.struct(order_hash(seed, keys).alias("_hash"), *keys)
     bound = [F.lit(last[k]).cast(df.schema[k].dataType).alias(k) for k in keys]
     limit = F.struct(F.lit(last["_hash"]).alias("_hash"), *bound)
-    if last["_wanted"] == last["_equal"]:
+    if last["_wanted"] == last["_copies"]:
         return df.where(place <= limit)
     # Several rows share the last key and not all of them are in.
-    return df.where(place < limit).unionByName(df.where(place == limit).limit(last["_wanted"]))
+    below, at = df.where(place < limit), df.where(place == limit)
+    if keys != everything:
+        return below.unionByName(_first_rows(at, last["_wanted"], everything, everything, seed, prefix))
+    # They are equal in all columns: one of them is written out as often as it is wanted.
+    chunks = F.explode(F.sequence(F.lit(0), F.lit((last["_wanted"] - 1) // COPY_CHUNK)))
+    spread = at.limit(1).withColumn("_chunk", chunks).repartition("_chunk")
+    rest = F.least(F.lit(COPY_CHUNK), F.lit(last["_wanted"]) - F.col("_chunk") * COPY_CHUNK)
+    return below.unionByName(spread.withColumn("_copy", F.explode(F.sequence(F.lit(1), rest.cast("int")))).select(*df.columns))
 
 
 def _last_of_sample(df: DataFrame, n: int, keys: list[str], seed: int, prefix: int) -> Row | None:
-    """The n-th row's hash and key, how many rows have that key, and how many of those are wanted.
+    """Hash and key of the n-th row, how many rows have that key, and how many of those are wanted.
 
-    Only the bucket in which the count runs out is ranked, by keys alone. None when all rows are in.
+    Copies of a key are counted before the shuffle; only the bucket in which the count runs out is
+    ranked, by keys alone. None when all rows are in.
     """
-    rows = _bucketed(df.select(*keys), keys, seed, None, prefix)
-    offsets = _bucket_offsets(rows, F.count(F.lit(1)))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+    rows = _bucketed(counted, keys, seed, None, prefix)
+    offsets = _bucket_offsets(rows, F.sum("_copies"))
     crossing = offsets.where((F.col("_before") < n) & (F.col("_before") + F.col("_size") >= n))
-    inside = W.partitionBy("_bucket").orderBy("_hash", *keys)
-    same = W.partitionBy("_bucket", "_hash", *keys)
-    ranked = rows.join(F.broadcast(crossing), "_bucket").withColumns(
-        {
-            "_place": F.col("_before") + F.row_number().over(inside),
-            "_wanted": n - F.col("_before") - F.rank().over(inside) + 1,
-            "_equal": F.count(F.lit(1)).over(same),
-        }
-    )
-    return ranked.where(F.col("_place") == n).select("_hash", *keys, "_wanted", "_equal").first()
+    inside = W.partitionBy("_bucket").orderBy("_hash", *keys).rowsBetween(W.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    ranked = rows.join(F.broadcast(crossing), "_bucket").withColumn("_wanted", n - first)
+    found = ranked.where((F.col("_wanted") > 0) & (F.col("_wanted") <= F.col("_copies")))
+    return found.select("_hash", *keys, "_wanted", "_copies").first()
 
 
 def resume_from(ordered: DataFrame, pos: int) -> DataFrame:

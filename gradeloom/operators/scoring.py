@@ -2,18 +2,31 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradeloom.functions.rewards import completion_text, reward_components, score_by_source, scorer_names
 
 UNSCORED = "no reward scorer for data_source"
 
 
-def score_completions(df: DataFrame, task: str, completion: str = "completion", gold: str = "answer") -> DataFrame:
-    """Add one column per reward of the task and `reward_total`, their sum."""
-    text, answer = completion_text(df, completion), F.col(gold)
-    parts = {name: build(text, answer) for name, build in reward_components(task).items()}
+EMPTY_COMPLETION = "empty completion"
+
+
+def score_completions(
+    df: DataFrame, task: str, completion: str = "completion", gold: str = "answer", fail: bool = True
+) -> DataFrame:
+    """Add one column per reward of the task and `reward_total`, their sum.
+
+    A completion without messages fails the job, or with `fail=False` scores null with a `reject_reason`.
+    """
+    text, answer = completion_text(df, completion, fail), F.col(gold)
+    empty = F.lit(False)
+    if not fail and isinstance(df.schema[completion].dataType, T.ArrayType):
+        empty = F.coalesce(F.size(completion) <= 0, F.lit(True))
+    parts = {name: build(text, answer) if fail else F.when(~empty, build(text, answer)) for name, build in reward_components(task).items()}
     total = sum(list(parts.values())[1:], start=list(parts.values())[0])
-    return df.withColumns({**parts, "reward_total": total})
+    scored = df.withColumns({**parts, "reward_total": total})
+    return scored if fail else scored.withColumn("reject_reason", F.when(empty, EMPTY_COMPLETION))
 
 
 def score_routed(

@@ -5,12 +5,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group above this many rows is treated as hot. At most rows / HOT_ROWS groups can be, so a
-# table of hot keys is small however large the input is: 10^11 rows give at most 10^6 keys.
+# A group above this many rows is treated as hot, as long as it is among the HOT_KEYS largest. What is
+# broadcast about hot groups is bounded by HOT_KEYS, whatever the input; a group that is not among them
+# has less than one row in HOT_KEYS of the whole table, which a task can sort.
 HOT_ROWS = 100_000
+HOT_KEYS = 10_000
 
-# A lookup table up to this many rows is broadcast; a larger one is joined by shuffle.
+# A lookup table up to this many rows and bytes is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -24,7 +27,8 @@ def _hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> tuple[DataFrame,
     """
     pairs = [(k, f"_hot_{i}") for i, k in enumerate(keys)]
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    return F.broadcast(counted.select(*[F.col(k).alias(h) for k, h in pairs])), pairs
+    largest = counted.orderBy(F.desc("_rows"), *keys).limit(HOT_KEYS)
+    return F.broadcast(largest.select(*[F.col(k).alias(h) for k, h in pairs])), pairs
 
 
 def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
@@ -55,16 +59,19 @@ def lookup(
     how: str = "inner",
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join rows to a table that has one row per key.
 
-    The table's rows are counted first, reading no further than the limit. Up to the limit it is
-    broadcast. Beyond it ordinary keys are joined by shuffle, and hot keys, of which there are at
-    most rows / hot_rows, are joined to a broadcast of just their entries.
+    The table's rows are counted and measured first, reading no further than the limit. Up to the limits
+    it is broadcast. Beyond them ordinary keys are joined by shuffle, and hot keys, HOT_KEYS at most, are
+    joined to a broadcast of just their entries.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"lookup cannot do a {how!r} join")
-    if table.select(on).limit(broadcast_rows + 1).count() <= broadcast_rows:
+    width = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    found = table.limit(broadcast_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(width, F.lit(0)).alias("bytes")).first()
+    if found["n"] <= broadcast_rows and found["bytes"] <= broadcast_bytes:
         return df.join(F.broadcast(table), on, how)
     ordinary, hot = split_hot(df, [on], hot_rows)
     hot_keys, pairs = _hot_keys(df, [on], hot_rows)

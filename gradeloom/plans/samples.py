@@ -27,6 +27,23 @@ def subsample_large(spark: SparkSession, folder: str) -> DataFrame:
     return S.subsample_exact(_orders(spark, folder), 12_345, _KEY, SEED)
 
 
+def _uneven(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines under a key that owns a third of them."""
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    return lines.withColumn("key", F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey")))
+
+
+def subsample_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the lines; where the sample ends within a key, the hash of the row decides."""
+    return S.subsample_exact(_uneven(spark, folder), 30_000, ["key"], SEED)
+
+
+def subsample_within_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A sample that ends within the key that owns a third of the lines."""
+    lines = _uneven(spark, folder).withColumn("key", F.col("key") == 0)
+    return S.subsample_exact(lines, 12_000, ["key"], SEED)
+
+
 def epoch_order(spark: SparkSession, folder: str) -> DataFrame:
     return S.epoch_order(_orders(spark, folder), _KEY, SEED, 0)
 
@@ -69,9 +86,18 @@ def hash_split(spark: SparkSession, folder: str) -> DataFrame:
 _ORDER = "md5('42:0:' || o_orderkey), o_orderkey"
 _PLACED = f"""(SELECT o_orderkey, o_orderpriority, row_number() OVER (ORDER BY {_ORDER}) - 1 AS pos FROM orders)"""
 
+
+def _sampled_sql(key: str, n: int) -> str:
+    order = "md5('42:' || key), key, md5('42:' || key || ':' || l_orderkey || ':' || l_linenumber || ':' || l_partkey)"
+    return f"""SELECT l_orderkey, l_linenumber, l_partkey, key FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+        {key} AS key FROM lineitem) ORDER BY {order} LIMIT {n}"""
+
+
 QUERIES = {
     "subsample_exact": subsample_exact,
     "subsample_large": subsample_large,
+    "subsample_repeats": subsample_repeats,
+    "subsample_within_key": subsample_within_key,
     "epoch_order": epoch_order,
     "epoch_reshuffle": epoch_reshuffle,
     "epoch_order_copies": epoch_order_copies,
@@ -87,6 +113,8 @@ ORACLE = {
         ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 64""",
     "subsample_large": """SELECT o_orderkey, o_orderpriority FROM orders
         ORDER BY md5('42:' || o_orderkey), o_orderkey LIMIT 12345""",
+    "subsample_repeats": _sampled_sql("CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END", 30_000),
+    "subsample_within_key": _sampled_sql("l_orderkey % 3 = 0", 12_000),
     "epoch_order": f"SELECT * FROM {_PLACED}",
     "epoch_reshuffle": f"SELECT * FROM {_PLACED.replace('42:0:', '42:1:')}",
     "epoch_order_copies": """SELECT l_orderkey, l_linenumber, row_number() OVER (

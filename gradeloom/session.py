@@ -1,6 +1,5 @@
 """Session helpers: a local session for tests and the shared scratch folder of a cluster."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,15 +21,11 @@ def local_session(cpus: int = 8, name: str = "gradeloom", **conf: str) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under the one that `spark.checkpoint.dir` names.
+    """A new folder under the one that `spark.checkpoint.dir` names, which all executors must reach.
 
-    Executors on other machines must reach it, so only a local session may fall back to a
-    temporary folder.
+    There is no other place: without that setting it raises, in local sessions too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="gradeloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/gradeloom-{uuid.uuid4().hex}"

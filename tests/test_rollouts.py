@@ -100,14 +100,29 @@ def test_gae(spark, gamma, lam, chunk):
             assert got[k, t]["value_target"] == pytest.approx(a + steps[t][1], abs=1e-9)
 
 
-def test_gae_with_a_known_length(spark):
-    steps = [(1, t, 0.5 * t, 0.25 * t) for t in range(40)]
-    df = spark.createDataFrame(steps, "k long, step long, reward double, value double")
-    measured = gae(df, ["k"], gamma=0.9, chunk=8).collect()
-    assert sorted(measured) == sorted(gae(df, ["k"], gamma=0.9, chunk=8, max_steps=64).collect())
+@pytest.mark.parametrize("fan", [2, 3, 100])
+def test_gae_over_many_chunks(spark, fan):
+    rows = [("a", i, float(i % 5), float(i % 3)) for i in range(40)] + [("b", i, 1.0, 0.0) for i in range(333)]
+    df = spark.createDataFrame(rows, "k string, step long, reward double, value double")
+    for gamma in (1.0, 0.9):
+        got = {(r["k"], r["step"]): r["advantage"] for r in gae(df, ["k"], gamma=gamma, chunk=8, fan=fan).collect()}
+        for k in "ab":
+            steps = [(r[2], r[3]) for r in rows if r[0] == k]
+            wanted = plain_gae([r for r, _ in steps], [v for _, v in steps], gamma, 1.0)
+            assert [got[k, i] for i in range(len(steps))] == pytest.approx(wanted)
     assert gae(df.limit(0), ["k"]).count() == 0
 
 
+@pytest.mark.parametrize("left_out", [0, 4, 8, 16])
+def test_gae_refuses_gaps_and_repeats(spark, left_out):
+    rows = [("a", i, 1.0, 0.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, step long, reward double, value double")
+    with pytest.raises(ValueError):
+        gae(df.where(F.col("step") != left_out), ["k"], chunk=8)
+    with pytest.raises(ValueError):
+        gae(df.union(df.where(F.col("step") == left_out)), ["k"], chunk=8)
+
+
 def test_gae_limits(spark):
     df = spark.createDataFrame([(1, 0, 1.0, 0.0)], "k long, step long, reward double, value double")
     with pytest.raises(ValueError):
