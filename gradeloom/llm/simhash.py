@@ -28,7 +28,7 @@ FANOUT = 8
 GROUPS = 4096  # upper nodes at most; all tasks hold them
 GROUP_SIZE = 4096  # fingerprints of a group, as long as there are not more groups than that
 VISITORS = 65_536  # searches that enter a group in one task
-FRONTIER = 1 << 21  # pairs of searches and nodes held at once
+FRONTIER = 1 << 17  # pairs of searches and nodes that go down a level at once
 BLOCK = 65_536
 
 
