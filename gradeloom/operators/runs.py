@@ -1,11 +1,17 @@
 """Comparison of training runs from tables of settings and metrics."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gradeloom.functions import runs as R
 from gradeloom.operators.skew import BROADCAST_ROWS, lookup
 
+# Column of whatever is not in a list of methods or frameworks.
+OTHER = "other"
+
 # Settings in which runs of one method may differ.
 FREE_KEYS = ("framework", "tuning", "image", "scale.nodes", "scale.gpus")
 
@@ -38,9 +44,10 @@ def log_thin(metrics: DataFrame, runs: DataFrame, broadcast_rows: int = BROADCAS
 def coverage_matrix(runs: DataFrame, methods: tuple[str, ...] = R.METHODS) -> DataFrame:
     """Per framework and method, the tunings that runs exist for: `full|lora`, `full`, `lora`, `none`.
 
-    Pretraining trains all parameters by definition.
+    Pretraining trains all parameters by definition. Methods that are not listed share the column `other`.
     """
     method = F.coalesce(F.col("method"), F.lit("sft"))
+    method = F.when(method.isin(*methods), method).otherwise(F.lit(OTHER))
     tuning = F.when(method == "pretrain", "full").otherwise(F.coalesce(F.col("tuning"), F.lit("full")))
 
     def label(name: str):
@@ -50,7 +57,7 @@ def coverage_matrix(runs: DataFrame, methods: tuple[str, ...] = R.METHODS) -> Da
             F.when(full & lora, "full|lora").when(full, "full").when(lora, "lora").otherwise("none").alias(name)
         )
 
-    return runs.groupBy("framework").agg(*[label(m) for m in methods])
+    return runs.groupBy("framework").agg(*[label(m) for m in (*methods, OTHER)])
 
 
 def metric_overlay(
@@ -59,26 +66,61 @@ def metric_overlay(
     frameworks: tuple[str, ...] = R.FRAMEWORKS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """One row per (method, metric, step) with the mean of each framework side by side."""
-    labels = runs.select("run_id", F.coalesce(F.col("method"), F.lit("sft")).alias("method"), "framework")
+    """One row per (method, metric, step) with the mean of each framework side by side. Frameworks that
+    are not listed, and runs without one, share the column `other`."""
+    listed = F.when(F.col("framework").isin(*frameworks), F.col("framework")).otherwise(F.lit(OTHER))
+    labels = runs.select("run_id", F.coalesce(F.col("method"), F.lit("sft")).alias("method"), listed.alias("framework"))
     joined = lookup(metrics, labels, "run_id", "inner", broadcast_rows)
-    return joined.groupBy("method", "metric", "step").pivot("framework", list(frameworks)).agg(F.avg("value"))
+    columns = [*frameworks, OTHER]
+    return joined.groupBy("method", "metric", "step").pivot("framework", columns).agg(F.avg("value"))
 
 
 def metric_percentiles(
     metrics: DataFrame,
     runs: DataFrame,
     points: tuple[float, ...] = (0.5, 0.95),
-    accuracy: int = 10_000,
+    pieces: int = 256,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Approximate percentiles of each metric per (method, framework), from mergeable sketches."""
+    """Exact percentiles of each metric per (method, framework): the least value that the share `p` of the
+    group's values does not exceed. Nulls do not count.
+
+    Groups may be of any size. A mergeable sketch gives splitters that cut a group into about `pieces`
+    pieces, the pieces are counted exactly, and only the pieces in which a percentile falls are ranked: equal
+    values are counted before they are, so a value that is most of a group is one row.
+    """
     labels = runs.select("run_id", F.coalesce(F.col("method"), F.lit("sft")).alias("method"), "framework")
     joined = lookup(metrics, labels, "run_id", "inner", broadcast_rows)
-    found = F.percentile_approx("value", list(points), accuracy)
-    grouped = joined.groupBy("method", "framework", "metric").agg(found.alias("_p"), F.count("value").alias("n"))
-    named = [F.col("_p")[i].alias(f"p{round(p * 100)}") for i, p in enumerate(points)]
-    return grouped.select("method", "framework", "metric", "n", *named)
+    group = ["method", "framework", "metric"]
+    known = joined.select(*group, "value").where(F.col("value").isNotNull())
+    counted = known.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("c"))
+    cuts = F.percentile_approx("value", [i / pieces for i in range(1, pieces)], 10 * pieces)
+    splitters = known.groupBy(*group).agg(F.array_distinct(cuts).alias("cuts"), F.count(F.lit(1)).alias("n"))
+
+    def renamed(df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed({c: f"_{c}" for c in group})
+
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group])
+
+    # A piece is named by the number of splitters below it.
+    piece = F.size(F.filter("cuts", lambda c: c < F.col("value")))
+    placed = counted.join(renamed(splitters), same).select(*group, "value", "c", "n", piece.alias("piece"))
+    sizes = placed.groupBy(*group, "n", "piece").agg(F.sum("c").alias("size"))
+    before = W.partitionBy(*group).orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
+    sizes = sizes.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.ceil(F.lit(p) * F.col("n")).alias("place")) for i, p in enumerate(points)]))
+    asked = sizes.select(*group, "n", "piece", "before", "size", wanted.alias("w")).select(
+        *group, "n", "piece", "before", F.col("w.i").alias("i"), F.greatest("w.place", F.lit(1)).alias("place"), "size"
+    )
+    asked = asked.where((F.col("before") < F.col("place")) & (F.col("place") <= F.col("before") + F.col("size")))
+    asked = renamed(asked).select(*[f"_{c}" for c in group], F.col("piece").alias("_piece"), "before", "i", "place")
+    met = placed.join(asked, same & (F.col("piece") == F.col("_piece")))
+    up_to = W.partitionBy(*group, "i").orderBy("value")
+    reached = met.withColumn("up_to", F.col("before") + F.sum("c").over(up_to)).where(F.col("up_to") >= F.col("place"))
+    found = reached.groupBy(*group, "n").agg(
+        *[F.min(F.when(F.col("i") == i, F.col("value"))).alias(f"p{round(p * 100)}") for i, p in enumerate(points)]
+    )
+    return found.select(*group, "n", *[f"p{round(p * 100)}" for p in points])
 
 
 def control_audit(

@@ -36,12 +36,12 @@ def coverage_matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 def metric_overlay(spark: SparkSession, folder: str) -> DataFrame:
     made = O.metric_overlay(run_metrics(spark, folder), O.measured_only(runs(spark, folder)))
-    named = [F.round(F.col(f"`{f}`"), 6).alias(f.replace("-", "_")) for f in R.FRAMEWORKS]
+    named = [F.round(F.col(f"`{f}`"), 6).alias(f.replace("-", "_")) for f in (*R.FRAMEWORKS, O.OTHER)]
     return made.select("method", "metric", "step", *named)
 
 
 def metric_percentiles(spark: SparkSession, folder: str) -> DataFrame:
-    return O.metric_percentiles(run_metrics(spark, folder), runs(spark, folder))
+    return O.metric_percentiles(run_metrics(spark, folder), O.measured_only(runs(spark, folder)))
 
 
 def control_audit(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,7 +49,7 @@ def control_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def offline_online_diff(spark: SparkSession, folder: str) -> DataFrame:
-    made = O.offline_online_diff(run_metrics(spark, folder), runs(spark, folder))
+    made = O.offline_online_diff(run_metrics(spark, folder), O.measured_only(runs(spark, folder)))
     return made.withColumns({c: F.round(c, 6) for c in ("dpo", "online_dpo", "diff")})
 
 
@@ -65,8 +65,10 @@ _JOINED = f"(SELECT e.*, r.m, r.framework, r.sm, {_EVERY} AS every FROM {METRIC_
 
 def _cover(method: str) -> str:
     tuning = "'full'" if method == "pretrain" else "t"
-    full = f"coalesce(bool_or(m = '{method}' AND {tuning} = 'full'), false)"
-    lora = f"coalesce(bool_or(m = '{method}' AND {tuning} = 'lora'), false)"
+    listed = ", ".join(f"'{m}'" for m in R.METHODS)
+    here = f"m NOT IN ({listed})" if method == O.OTHER else f"m = '{method}'"
+    full = f"coalesce(bool_or({here} AND {tuning} = 'full'), false)"
+    lora = f"coalesce(bool_or({here} AND {tuning} = 'lora'), false)"
     return f"""CASE WHEN {full} AND {lora} THEN 'full|lora' WHEN {full} THEN 'full' WHEN {lora} THEN 'lora'
         ELSE 'none' END AS {method}"""
 
@@ -74,6 +76,8 @@ def _cover(method: str) -> str:
 _PER_FRAMEWORK = ", ".join(
     f"round(avg(value) FILTER (framework = '{f}'), 6) AS {f.replace('-', '_')}" for f in R.FRAMEWORKS
 )
+_LISTED = ", ".join(f"'{f}'" for f in R.FRAMEWORKS)
+_PER_FRAMEWORK += f", round(avg(value) FILTER (framework IS NULL OR framework NOT IN ({_LISTED})), 6) AS other"
 _THIN = f"SELECT run_id, step, metric, value FROM {_JOINED} WHERE step = 1 OR step % every = 0"
 
 QUERIES = {
@@ -89,7 +93,6 @@ QUERIES = {
     "offline_online_diff": offline_online_diff,
 }
 
-# `metric_percentiles` is exact for groups below its accuracy of 10,000 values, as they are here.
 ORACLE = {
     "run_name": f"""SELECT run_id, m || '-' || list_extract(string_split(CASE WHEN model_name IS NULL OR model_name = ''
         THEN coalesce(model_size, '?') ELSE model_name END, '/'), -1) || '-' || coalesce(source, '?') || '-' || framework
@@ -102,15 +105,16 @@ ORACLE = {
         ELSE coalesce(project, 'runs-' || m) END AS project, {_EVERY} AS log_every FROM {_R}""",
     "log_thin": _THIN,
     "log_thin_shuffled": _THIN,
-    "coverage_matrix": f"SELECT framework, {', '.join(_cover(m) for m in R.METHODS)} FROM {_R} GROUP BY framework",
+    "coverage_matrix": f"SELECT framework, {', '.join(_cover(m) for m in (*R.METHODS, O.OTHER))} FROM {_R} GROUP BY framework",
     "metric_overlay": f"""SELECT m AS method, metric, step, {_PER_FRAMEWORK} FROM {_JOINED} WHERE NOT sm
         GROUP BY 1, 2, 3""",
     "metric_percentiles": f"""SELECT m AS method, framework, metric, count(value) AS n,
-        quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM {_JOINED} GROUP BY 1, 2, 3""",
+        quantile_disc(value, 0.5) AS p50, quantile_disc(value, 0.95) AS p95 FROM {_JOINED} WHERE NOT sm
+        GROUP BY 1, 2, 3""",
     "control_audit": f"""SELECT m AS method, t AS tuning, key, count(DISTINCT value) AS n_values
         FROM {CONFIG_SQL} c JOIN {_R} r USING (run_id) WHERE key <> 'scale.nodes' GROUP BY 1, 2, 3
         HAVING count(DISTINCT value) > 1""",
     "offline_online_diff": f"""SELECT metric, step, round(a, 6) AS dpo, round(b, 6) AS online_dpo, round(b - a, 6) AS diff
         FROM (SELECT metric, step, avg(value) FILTER (m = 'dpo') AS a, avg(value) FILTER (m = 'online_dpo') AS b
-        FROM {_JOINED} GROUP BY 1, 2) WHERE a IS NOT NULL AND b IS NOT NULL""",
+        FROM {_JOINED} WHERE NOT sm GROUP BY 1, 2) WHERE a IS NOT NULL AND b IS NOT NULL""",
 }

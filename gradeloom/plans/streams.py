@@ -2,19 +2,29 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from gradeloom.plans.grading import ORACLE as GRADING
 from gradeloom.plans.grading import sample_rows
 from gradeloom.plans.inputs import ROLLOUT, derive
 from gradeloom.session import shared_dir
 from gradeloom.sources.readers import read_table
-from gradeloom.streaming.score import stream_group_advantage, stream_once, stream_score
+from gradeloom.streaming.score import (
+    landed_advantages,
+    landed_once,
+    stream_group_advantage,
+    stream_once,
+    stream_score,
+)
+
+# Files of one micro-batch.
+FILES = 1000
 
 
 def read_stream(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """The table as a stream of files. A file source wants a folder or, as here, a glob."""
+    """The table as a stream of files, some at a time. A file source wants a folder or, as here, a glob."""
     schema = read_table(spark, folder, table).schema
-    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{table}.parquet*")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES).parquet(f"{folder.rstrip('/')}/{table}.parquet*")
 
 
 def run_to_end(stream: DataFrame, path: str) -> DataFrame:
@@ -32,24 +42,30 @@ def score_stream(spark: SparkSession, folder: str) -> DataFrame:
     return run_to_end(scored, shared_dir(spark))
 
 
-def group_advantage_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups are a user's events of one hour; only hours that the watermark has passed come out."""
-    events = read_stream(spark, folder, "events").select(
+def run_writer(writer: DataStreamWriter) -> None:
+    writer.trigger(availableNow=True).start().awaitTermination()
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return read_stream(spark, folder, "events").select(
         "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"
     )
-    placed = stream_group_advantage(events, "ts", ["user_id"], "value", "1 hour", "10 minutes", salts=4)
-    done = run_to_end(placed.select("event_id", "user_id", "group_n", "advantage"), shared_dir(spark))
-    return done.withColumn("advantage", F.round("advantage", 6))
+
+
+def group_advantage_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups are a user's events of one hour; every event comes out."""
+    events, path = _events(spark, folder), shared_dir(spark)
+    run_writer(stream_group_advantage(events, "ts", ["user_id"], "value", "1 hour", f"{path}/table", f"{path}/checkpoint"))
+    done = landed_advantages(spark, f"{path}/table", events.schema)
+    return done.select("event_id", "user_id", F.round("group_mean", 6).alias("group_mean"), F.round("advantage", 6).alias("advantage"))
 
 
 def delivered_once_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Every event arrives twice in one batch; the second copy is dropped."""
-    events = read_stream(spark, folder, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "value"
-    )
-    twice = events.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    once = stream_once(twice, "ts", "10 minutes", ["event_id"])
-    return run_to_end(once.select("event_id", "user_id", "value"), shared_dir(spark))
+    """Every event arrives twice; the second copy is dropped."""
+    twice = _events(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    path = shared_dir(spark)
+    run_writer(stream_once(twice, ["event_id"], f"{path}/table", f"{path}/checkpoint"))
+    return landed_once(spark, f"{path}/table", twice.schema).select("event_id", "user_id", "value")
 
 
 QUERIES = {
@@ -62,9 +78,9 @@ _HOURLY = "date_trunc('hour', ts)"
 
 ORACLE = {
     "stream_score": GRADING["score_samples"],
-    "stream_group_advantage": f"""SELECT event_id, user_id, count(*) OVER w AS group_n, round(CASE WHEN count(*) OVER w = 1
-        THEN 0.0 ELSE (value - avg(value) OVER w) / (stddev_samp(value) OVER w + 0.0001) END, 6) AS advantage
-        FROM events WHERE {_HOURLY} + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
-        WINDOW w AS (PARTITION BY user_id, {_HOURLY})""",
+    "stream_group_advantage": f"""SELECT event_id, user_id, round(avg(value) OVER w, 6) AS group_mean,
+        round(CASE WHEN count(*) OVER w = 1 THEN 0.0
+        ELSE (value - avg(value) OVER w) / (stddev_samp(value) OVER w + 0.0001) END, 6) AS advantage
+        FROM events WINDOW w AS (PARTITION BY user_id, {_HOURLY})""",
     "stream_once": "SELECT event_id, user_id, value FROM events",
 }

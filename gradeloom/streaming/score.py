@@ -1,56 +1,93 @@
 """Stateless and windowed grading of a stream of completions."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
-from gradeloom.operators.groups import advantage
+from gradeloom.operators.groups import group_advantage
 from gradeloom.operators.scoring import score_samples
 
+WINDOW = "window_start"
+
 
 def stream_score(samples: DataFrame, fail: bool = False) -> DataFrame:
     """Score samples as they arrive; the batch operator as it is, append mode, no state."""
     return score_samples(samples, fail)
 
 
-def stream_once(samples: DataFrame, ts: str, watermark: str, unique_by: list[str]) -> DataFrame:
-    """Drop repeats of a sample that is delivered again within the watermark.
+def _landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def _append(batch: DataFrame, path: str, name: str, number: int) -> None:
+    """Write a micro-batch to a folder of its own, so that a repeated batch replaces itself."""
+    batch.write.mode("overwrite").parquet(f"{path}/{name}={number}")
+
 
-    State holds keys only until the watermark passes them. Rows later than the watermark are
-    dropped by Spark and show up as `numRowsDroppedByWatermark` in the query's progress.
+def stream_once(samples: DataFrame, unique_by: list[str], path: str, checkpoint: str, **options: str) -> DataStreamWriter:
+    """Land samples in `path`, each key once, however late and in whichever batch it comes again.
+
+    What has landed is the state: a batch is compared with the keys of the batches before it, so nothing
+    is dropped for being late and no state has to be held open. Which of the copies in one batch stays is
+    open if they differ. Read the table with `landed_once`.
     """
-    return samples.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(unique_by)
+    plain = samples.schema
+
+    def land(batch: DataFrame, number: int) -> None:
+        spark, table = batch.sparkSession, f"{path}/rows"
+        first = batch.dropDuplicates(unique_by)
+        if number > 0:
+            before = _landed(spark, table, T.StructType([*plain, T.StructField("batch", T.LongType())]))
+            seen = before.where(F.col("batch") < number).select(*[F.col(k).alias(f"_{k}") for k in unique_by])
+            first = first.join(seen, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in unique_by], "left_anti")
+        _append(first, table, "batch", number)
+
+    return samples.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+
+
+def landed_once(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return _landed(spark, f"{path}/rows", schema)
 
 
 def stream_group_advantage(
-    scored: DataFrame,
-    ts: str,
-    group: list[str],
-    reward: str,
-    width: str,
-    watermark: str,
-    eps: float = 1e-4,
-    salts: int = 1,
-) -> DataFrame:
-    """Group-normalised advantages for groups that complete within an event-time window.
-
-    Statistics are aggregated per (window, group) without holding the rows, and joined to the rows
-    once the watermark has passed the window. Append mode; rows of the last window stay in state
-    until a later event moves the watermark. The source is read by both sides of the join. `salts`
-    repeats the statistics so that the rows of a very large group are joined by that many tasks.
-    Where samples may come twice, write `stream_once` to a table and read the groups from there.
+    scored: DataFrame, ts: str, group: list[str], reward: str, width: str, path: str, checkpoint: str, eps: float = 1e-4
+) -> DataStreamWriter:
+    """Land scored rows in `path` and keep their group-normalised advantages per event-time window.
+
+    Every batch is written as it is. The windows that it touches, and no others, are then worked out anew
+    by the batch operator over all their rows, so a late row reopens its window, the last window needs no
+    later event to come out, and hot groups are treated as in batch. No rows are held in stream state.
+    Rows without a timestamp form a window of their own. `landed_advantages` reads the latest version of
+    each window.
     """
-    rows = scored.withWatermark(ts, watermark).withColumn("window", F.window(ts, width))
-    stats = rows.groupBy("window", *group).agg(
-        F.avg(reward).alias("group_mean"), F.stddev_samp(reward).alias("group_std"), F.count(reward).alias("group_n")
-    )
-    # A stream may have one event-time column only; the window takes over from the timestamp.
-    rows = rows.withColumn(ts, F.timestamp_micros(F.unix_micros(ts)))
-    on = ["window", *group]
-    if salts > 1:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in scored.columns]), F.lit(salts)).cast("int")
-        rows = rows.withColumn("_salt", salt)
-        stats = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = [*on, "_salt"]
-    joined = rows.join(stats, on, "inner")
-    value = advantage(F.col(reward), F.col("group_mean"), F.col("group_std"), eps)
-    return joined.withColumn("advantage", value).drop("_salt")
+    plain = T.StructType([*scored.schema, T.StructField(WINDOW, T.TimestampType())])
+
+    def land(batch: DataFrame, number: int) -> None:
+        spark, table = batch.sparkSession, f"{path}/rows"
+        _append(_windowed(batch, ts, width), table, "batch", number)
+        rows = _landed(spark, table, T.StructType([*plain, T.StructField("batch", T.LongType())]))
+        rows = rows.where(F.col("batch") <= number)
+        # A batch touches few windows; Spark checks the size before it sends them to the scan.
+        touched = rows.where(F.col("batch") == number).select(F.col(WINDOW).alias("_touched")).distinct()
+        again = rows.drop("batch").join(touched, F.col(WINDOW).eqNullSafe(F.col("_touched")), "left_semi")
+        sized = group_advantage(again, [WINDOW, *group], reward, eps)
+        _append(sized, f"{path}/advantages", "version", number)
+
+    return scored.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
+
+
+def _windowed(batch: DataFrame, ts: str, width: str) -> DataFrame:
+    """Rows with the start of their window. `window` leaves rows without a time out; they are put back."""
+    timed = batch.where(F.col(ts).isNotNull()).withColumn(WINDOW, F.window(ts, width)["start"])
+    return timed.unionByName(batch.where(F.col(ts).isNull()).withColumn(WINDOW, F.lit(None).cast("timestamp")))
+
+
+def landed_advantages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of `schema` with `group_mean`, `group_std` and `advantage`, one version of each window."""
+    made = [T.StructField(n, T.DoubleType()) for n in ("group_mean", "group_std", "advantage")]
+    kind = T.StructType([*schema, T.StructField(WINDOW, T.TimestampType()), *made, T.StructField("version", T.LongType())])
+    rows = _landed(spark, f"{path}/advantages", kind)
+    latest = rows.groupBy(F.col(WINDOW).alias("_w")).agg(F.max("version").alias("_v"))
+    last = F.col(WINDOW).eqNullSafe(F.col("_w")) & (F.col("version") == F.col("_v"))
+    return rows.join(latest, last, "left_semi").drop("version")

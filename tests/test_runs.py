@@ -96,3 +96,22 @@ def test_audit(spark):
               (0, "scale.gpus", "1"), (1, "scale.gpus", "8")]
     found = O.control_audit(spark.createDataFrame(config, RUN_CONFIG), runs).collect()
     assert [tuple(r) for r in found] == [("sft", "lora", "hp.lr", 2)]
+
+
+def test_percentiles_are_exact_in_large_and_lopsided_groups(spark):
+    runs = spark.createDataFrame([(1, "sft", "trl"), (2, "sft", "own")], "run_id long, method string, framework string")
+    rows = spark.range(200_000).selectExpr("1L run_id", "'loss' metric", "id step", "cast((id * 7919) % 200003 as double) value")
+    flat = spark.range(3000).selectExpr("2L run_id", "'loss' metric", "id step", "if(id < 2900, 5.0D, if(id < 2990, id, null)) value")
+    got = {r["framework"]: r for r in O.metric_percentiles(rows.union(flat), runs).collect()}
+    values = sorted((i * 7919) % 200003 for i in range(200_000))
+    assert (got["trl"]["p50"], got["trl"]["p95"], got["trl"]["n"]) == (values[99_999], values[189_999], 200_000)
+    assert (got["own"]["p50"], got["own"]["p95"], got["own"]["n"]) == (5.0, 5.0, 2990)
+
+
+def test_what_is_not_listed_is_other(spark):
+    runs = spark.createDataFrame([(1, "sft", "own", "full"), (2, "mine", "trl", "lora")], "run_id long, method string, framework string, tuning string")
+    metrics = spark.createDataFrame([(1, "loss", 1, 2.0), (2, "loss", 1, 4.0)], "run_id long, metric string, step long, value double")
+    over = {r["method"]: r for r in O.metric_overlay(metrics, runs).collect()}
+    assert (over["sft"]["other"], over["mine"]["trl"], over["mine"]["other"]) == (2.0, 4.0, None)
+    cover = {r["framework"]: r for r in O.coverage_matrix(runs).collect()}
+    assert (cover["trl"]["other"], cover["own"]["sft"], cover["own"]["other"]) == ("lora", "full", "none")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from gradeloom.operators.groups import group_advantage
 from gradeloom.operators.scoring import score_samples
-from gradeloom.plans.streams import run_to_end
-from gradeloom.streaming.score import stream_group_advantage, stream_once, stream_score
+from gradeloom.plans.streams import run_to_end, run_writer
+from gradeloom.streaming.score import landed_advantages, landed_once, stream_group_advantage, stream_once, stream_score
 
 START = dt.datetime(2024, 1, 1)
 
@@ -27,21 +27,33 @@ def test_stream_scores_equal_batch_scores(spark, tmp_path):
     )
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_closed_windows_come_out_whole(spark, tmp_path, salts):
-    # A third of the rows belong to group 0; the last window is still open.
+def in_pieces(df, path, pieces):
+    """A stream that takes one file at a time, in an order that has nothing to do with event time."""
+    df.repartition(pieces, F.xxhash64("id")).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@pytest.mark.parametrize("pieces", [1, 4])
+def test_every_row_gets_its_advantage(spark, tmp_path, pieces):
+    # A third of the rows belong to group 0; one row has no time.
     rows = [(i, START + dt.timedelta(minutes=i), i % 9 if i % 3 else 0, float(i % 7)) for i in range(240)]
-    df = spark.createDataFrame(rows, "id long, ts timestamp, g long, r double")
-    placed = stream_group_advantage(as_stream(df, str(tmp_path / "in")), "ts", ["g"], "r", "1 hour", "5 minutes", salts=salts)
-    got = {r["id"]: r["advantage"] for r in run_to_end(placed.drop("window"), str(tmp_path / "out")).collect()}
+    df = spark.createDataFrame([*rows, (240, None, 3, 1.0)], "id long, ts timestamp, g long, r double")
+    out = str(tmp_path / "out")
+    run_writer(stream_group_advantage(in_pieces(df, str(tmp_path / "in"), pieces), "ts", ["g"], "r", "1 hour", out, str(tmp_path / "cp")))
+    done = landed_advantages(spark, out, df.schema).collect()
+    got = {r["id"]: r["advantage"] for r in done}
     hourly = df.withColumn("h", F.date_trunc("hour", "ts"))
-    wanted = {r["id"]: r["advantage"] for r in group_advantage(hourly, ["h", "g"], "r").collect() if r["id"] < 180}
-    assert got.keys() == wanted.keys()
+    wanted = {r["id"]: r["advantage"] for r in group_advantage(hourly, ["h", "g"], "r").collect()}
+    assert len(done) == 241 and got.keys() == wanted.keys()
     assert all(got[i] == pytest.approx(wanted[i], abs=1e-9) for i in wanted)
 
 
-def test_repeats_are_dropped(spark, tmp_path):
-    rows = [(i // 2, START + dt.timedelta(minutes=i // 2), 1.0) for i in range(100)]
+@pytest.mark.parametrize("pieces", [1, 4])
+def test_repeats_are_dropped_and_late_rows_kept(spark, tmp_path, pieces):
+    rows = [(i // 2, START + dt.timedelta(days=30 - i), float(i % 2)) for i in range(100)] + [(None, None, 1.0)] * 2
     df = spark.createDataFrame(rows, "id long, ts timestamp, r double")
-    once = stream_once(as_stream(df, str(tmp_path / "in")), "ts", "10 minutes", ["id"])
-    assert sorted(r["id"] for r in run_to_end(once, str(tmp_path / "out")).collect()) == list(range(50))
+    out = str(tmp_path / "out")
+    df.repartition(pieces, "r", "id").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    run_writer(stream_once(stream, ["id"], out, str(tmp_path / "cp")))
+    assert sorted((r["id"] for r in landed_once(spark, out, df.schema).collect()), key=str) == sorted([*range(50), None], key=str)
