@@ -27,7 +27,8 @@ def as_text(value: Column, kind: T.DataType) -> Column:
 
 
 def float_text(x: Column) -> Column:
-    """The shortest text of a double. Spark has the digits; the point and the exponent go elsewhere."""
+    """The shortest text of a double. Spark has the digits (two at least for the smallest subnormal
+    number); the point and the exponent go elsewhere."""
     shown = x.cast("string")
     sign = F.when(shown.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(F.regexp_replace(F.regexp_extract(shown, r"^-?([0-9.]+)", 1), r"\.0$", ""), r"\.", "")

@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gradeloom.schemas import CORPUS_RAW, MATH_RAW
 from gradeloom.session import shared_dir
@@ -61,3 +62,13 @@ def test_corpus(spark, tmp_path):
     assert sorted(x["text"] for x in lines(tmp_path / "c")) == ["a b", "c"]
     assert from_corpus(raw, drop_blank=False).count() == 5
     assert from_corpus(raw.withColumn("more", F.lit(1))).columns == ["text"]
+
+
+def test_a_broken_line_is_not_lost(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"text": "one"}\n{"text": bad\n{"text": "two"}\n')
+    with pytest.raises(Exception):
+        read_dataset(spark, str(tmp_path / "in"), schema=CORPUS_RAW, fmt="json").collect()
+    aside = T.StructType([*CORPUS_RAW, T.StructField("_corrupt_record", T.StringType())])
+    rows = read_dataset(spark, str(tmp_path / "in"), schema=aside, fmt="json", mode="PERMISSIVE").collect()
+    assert [(r["text"], r["_corrupt_record"]) for r in rows] == [("one", None), (None, '{"text": bad'), ("two", None)]

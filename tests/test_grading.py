@@ -195,3 +195,13 @@ def test_shaping(spark):
     df = spark.createDataFrame([(1.0, True, 0.5), (1.0, False, 0.0)], "r double, eos boolean, kl double")
     got = df.select(R.missing_eos_penalty(F.col("r"), F.col("eos"), 2.0), R.kl_shaped_reward(F.col("r"), F.col("kl"), 0.1))
     assert [tuple(r) for r in got.collect()] == [(1.0, 0.95), (-1.0, 1.0)]
+
+
+def test_a_completion_without_messages_goes_to_the_rejects(spark):
+    kind = "array<struct<role:string,content:string>>"
+    rows = [([("assistant", "#### 4")], "4"), ([], "4"), (None, "4")]
+    df = spark.createDataFrame(rows, f"completion {kind}, answer string")
+    got = score_completions(df, "gsm8k", fail=False).collect()
+    assert [(r["reward_total"], r["reject_reason"]) for r in got] == [(1.1, None), (None, "empty completion"), (None, "empty completion")]
+    with pytest.raises(Exception):
+        score_completions(df, "gsm8k").collect()

@@ -5,10 +5,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gradeloom.functions.messages import normalize_messages, split_common_prompt
-from gradeloom.operators.conversations import assemble_conversations, part_lengths, render_turns, with_part_offset
-from gradeloom.functions.chat import render_chat
+from gradeloom.operators.conversations import (
+    assemble_conversations,
+    is_last_part,
+    loss_coverage,
+    part_lengths,
+    render_turns,
+    split_common_parts,
+    with_part_offset,
+)
+from gradeloom.functions.chat import CUE, render_chat
 from gradeloom.operators.formats import get_format, register_format, slime_file_rows, with_data_source
-from gradeloom.operators.validate import normalize_rl_prompt, validate_messages
+from gradeloom.operators.validate import normalize_rl_prompt, validate_messages, with_reject_reason
 from gradeloom.schemas import MATH_RAW, PREFERENCE, PROMPT_ONLY, SFT
 from gradeloom.sources.adapters import GSM8K_SYSTEM, get_source, register_source
 
@@ -72,7 +80,7 @@ def test_content_becomes_text(spark):
         raw = spark.createDataFrame([([("user", given, 1)],)], schema.format(kind))
         got = raw.select(normalize_messages(raw, "messages").alias("m")).first()["m"]
         assert plain(got) == talk(("user", wanted))
-    raw = spark.createDataFrame([([("user", 1.5, 1)],)], schema.format("double"))
+    raw = spark.createDataFrame([([("user", [1.5], 1)],)], schema.format("array<double>"))
     with pytest.raises(TypeError):
         normalize_messages(raw, "messages")
 
@@ -175,3 +183,62 @@ def test_long_conversations_go_on_in_parts(spark):
         assert whole[conv] == "".join(f"<|im_start|>{r}\n{x}<|im_end|>\n" for _, r, x in sorted(mine))
     texts = {(r["conv_id"], r["part"]): r["text"] for r in render_turns(df, part_turns=4).collect()}
     assert texts == {(r["conv_id"], r["part"]): r["chat"] for r in placed}
+
+
+FLOATS = [1.0, -2.5, 0.1, 1e16, 1e15, 123456789.125, 1e-4, 1.5e-5, 1e22, -1.25e-7, 1.7976931348623157e308, 1e7, 12345678.9, 0.001, 0.00012, 0.0, -0.0, 3e100, float("nan"), float("inf"), float("-inf"), None]
+
+
+def test_floats_as_content_are_their_shortest_text(spark):
+    df = spark.createDataFrame([(i, [("user", x)]) for i, x in enumerate(FLOATS)], "i int, messages array<struct<role:string,content:double>>")
+    got = {r["i"]: r["m"][0]["content"] for r in df.select("i", normalize_messages(df, "messages").alias("m")).collect()}
+    assert got == {i: str(x) for i, x in enumerate(FLOATS)}
+
+
+def long_turns(spark):
+    rows = [(c, t, "wizard" if (c, t) == (2, 3) else ("user", "assistant")[t % 2], f"text {c} {t}") for c in range(4) for t in range(3 + 5 * c)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+
+
+@pytest.mark.parametrize("size", [1, 4, 1_000_000])
+def test_verdict_cue_cut_and_coverage_do_not_hang_on_the_part_size(spark, size):
+    turns = long_turns(spark)
+    parts = assemble_conversations(turns, content="content", part_turns=size)
+    assert {r["conv_id"]: r["n_parts"] for r in parts.collect()} == {c: -(-(3 + 5 * c) // size) for c in range(4)}
+    good, bad = validate_messages(parts, ["messages"], conv="conv_id")
+    assert {r["conv_id"] for r in good.collect()} == {0, 1, 3}
+    assert sum(len(r["messages"]) for r in bad.collect()) == 13 and {r["reject_reason"] for r in bad.collect()} == {"unknown role"}
+    chat = parts.select("conv_id", "part", render_chat(F.col("messages"), is_last_part()).alias("t")).orderBy("conv_id", "part").collect()
+    whole = {}
+    for r in chat:
+        whole[r["conv_id"]] = whole.get(r["conv_id"], "") + r["t"]
+    assert all(t.count(CUE) - 0 == t.count("<|im_start|>assistant\n") and t.endswith(CUE) for t in whole.values())
+    assert whole[0].count("<|im_start|>") == 4
+    cover = {r["conv_id"]: r["coverage"] for r in loss_coverage(parts).collect()}
+    one = {r["conv_id"]: r["coverage"] for r in loss_coverage(assemble_conversations(turns, content="content")).collect()}
+    assert cover == one
+    last = F.element_at("messages", -1)
+    cut = F.struct(last["role"].alias("role"), F.lit("x").alias("content"))
+    rejected = F.when(is_last_part(), F.array_append(F.slice("messages", 1, F.size("messages") - 1), cut)).otherwise(F.col("messages"))
+    pairs = parts.select("conv_id", "part", "n_parts", F.col("messages").alias("chosen"), rejected.alias("rejected"))
+    split = split_common_parts(pairs).collect()
+    for c in range(4):
+        mine = [r for r in split if r["conv_id"] == c]
+        assert (sum(len(r["prompt"]) for r in mine), sum(len(r["chosen"]) for r in mine), sum(len(r["rejected"]) for r in mine)) == (2 + 5 * c, 1, 1)
+
+
+def test_what_differs_early_leaves_later_parts_to_both_sides(spark):
+    msg = lambda *xs: [("user", x) for x in xs]
+    rows = [(1, 0, 3, msg("a", "b"), msg("a", "x")), (1, 1, 3, msg("c"), msg("c")), (1, 2, 3, msg("d"), msg("d"))]
+    kind = "array<struct<role:string,content:string>>"
+    df = spark.createDataFrame(rows, f"conv_id long, part long, n_parts long, chosen {kind}, rejected {kind}")
+    got = {r["part"]: (len(r["prompt"]), len(r["chosen"]), len(r["rejected"])) for r in split_common_parts(df).collect()}
+    assert got == {0: (1, 1, 1), 1: (0, 1, 1), 2: (0, 1, 1)}
+
+
+def test_an_empty_part_is_not_an_empty_conversation(spark):
+    kind = "array<struct<role:string,content:string>>"
+    rows = [(1, 0, 2, []), (1, 1, 2, [("user", "x")]), (2, 0, 2, []), (2, 1, 2, None), (3, 0, 1, [])]
+    df = spark.createDataFrame(rows, f"conv_id long, part long, n_parts long, messages {kind}")
+    got = {(r["conv_id"], r["part"]): r["reject_reason"] for r in with_reject_reason(df, ["messages"], "conv_id").collect()}
+    empty = "empty conversation"
+    assert got == {(1, 0): None, (1, 1): None, (2, 0): empty, (2, 1): empty, (3, 0): empty}

@@ -108,3 +108,37 @@ def test_split(keyed):
     assert [s.count() for s in same] == [5000, 5000]
     for fraction, n in ((0.0, 0), (1.0, 5000)):
         assert S.split_train_validation(keyed, ["k"], fraction)[1].count() == n
+
+
+def uneven(spark):
+    rows = [(0 if i % 3 == 0 else i, i % 50 if i % 3 == 0 else i) for i in range(60_00)]
+    return spark.createDataFrame(rows, "key long, x long")
+
+
+@pytest.mark.parametrize("n", [1, 1500, 2000, 2500, 5999, 6000, 9000])
+def test_sample_with_repeated_keys_is_the_same_in_any_layout(spark, n):
+    df = uneven(spark)
+    layouts = [df, df.repartition(3, "x"), df.orderBy(F.desc("key"), "x").coalesce(1)]
+    got = [sorted(map(tuple, S.subsample_exact(d, n, ["key"], top_rows=0).collect())) for d in layouts]
+    assert len(got[0]) == min(n, 6000) and got[0] == got[1] == got[2]
+    assert got[0] == sorted(map(tuple, S.subsample_exact(df, n, ["key"]).collect()))
+
+
+def test_sample_of_equal_rows(spark):
+    df = spark.createDataFrame([(1, "a")] * 300, "key long, x string")
+    assert S.subsample_exact(df, 123, ["key"], top_rows=0).collect() == df.limit(123).collect()
+    plan = S.subsample_exact(df, 123, ["key"], top_rows=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 1  # one row, to be written out again
+
+
+def test_hot_keys_that_are_broadcast_are_bounded(spark, monkeypatch):
+    from gradeloom.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_KEYS", 3)
+    df = spark.range(1000).selectExpr("id % 20 as k", "id")
+    ordinary, hot = skew.split_hot(df, ["k"], hot_rows=10)
+    assert hot.select("k").distinct().count() == 3 and ordinary.count() + hot.count() == 1000
+    wide = spark.range(20).selectExpr("id as k", "repeat('x', 1000) as w")
+    for limit in (10, 1 << 30):
+        joined = skew.lookup(df, wide, "k", hot_rows=10, broadcast_bytes=limit)
+        assert joined.count() == 1000 and joined.select("w").distinct().count() == 1
