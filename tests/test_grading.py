@@ -10,6 +10,7 @@ from gradeloom.functions import rewards as R
 from gradeloom.functions.text import SPACE, SPACES, strip
 from gradeloom.operators.scoring import score_completions, score_routed, score_samples
 
+# The patterns that grading has to agree with.
 NUMBER = r"-?\d[\d,]*\.?\d*"
 BOX = r"\\boxed\{([^}]*)\}"
 HASH = r"####\s*(.+?)\s*$"
