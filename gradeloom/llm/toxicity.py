@@ -29,12 +29,11 @@ class Settings:
     bits: int = 20  # features are hashed into 2**bits
     sample: int = 20_000  # labelled rows to fit on, about
     shards: int = 4
-    epochs: int = 4
-    seen: int = 5  # sample rows that a feature must occur in
-    alpha: float = 0.5
+    epochs: int = 5
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 1.0
+    l1: float = 3.0
+    l2: float = 0.01
 
 
 def features(text: str | None, hashes: Hashes, bits: int) -> np.ndarray:
@@ -47,7 +46,7 @@ def features(text: str | None, hashes: Hashes, bits: int) -> np.ndarray:
 
 
 class State:
-    """z and n of FTRL for the coordinates in use; the last one is the bias."""
+    """z and n of FTRL by coordinate; the last one is the bias."""
 
     def __init__(self, z: np.ndarray, n: np.ndarray, s: Settings):
         self.z, self.n, self.s = z.copy(), n.copy(), s
@@ -103,62 +102,47 @@ def fit(df: DataFrame, labels: DataFrame, s: Settings = Settings(), key="doc_id"
     out of learning must not be in it. Without labelled rows, or with one class alone, the model
     gives 0.5, or nearly the class that there is. Null texts are empty texts.
     """
-    spark = df.sparkSession
-    # Dealt out without a key and sorted, so a task that runs again sees the same rows in the same order.
-    sample = labelled_sample(df, labels, s, key, text, label).repartition(s.shards).sortWithinPartitions("h", "text")
-    sample = keep(sample)
-    sample = sample.repartition(s.shards).sortWithinPartitions("h", "text", "label")
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, seen = Hashes(), np.zeros(1 << s.bits, np.int32)
-        for batch in batches:
-            for value in batch["text"]:
-                seen[features(value, hashes, s.bits)] += 1
-        at = np.flatnonzero(seen)
-        yield pd.DataFrame({"i": at, "n": seen[at]})
-
-    counted = sample.mapInPandas(count, "i int, n int").groupBy("i").agg(F.sum("n").alias("n"))
-    used = np.sort(np.array([r["i"] for r in counted.where(F.col("n") >= s.seen).collect()], dtype=np.int64))  # 2**bits at most
-    size = len(used) + 1
-    z, n = np.zeros(size), np.zeros(size)
-    for epoch in range(s.epochs):
-        held = spark.sparkContext.broadcast((used, z, n))
+    spark, state = df.sparkSession, "chunk int, z array<float>, n array<float>"
+    # Shards follow from the keys, and each is written in one piece and order, so that epochs, retries and
+    # other layouts of the table all learn the same.
+    sample = labelled_sample(df, labels, s, key, text, label).withColumn("shard", F.pmod("h", F.lit(s.shards)))
+    sample = sample.repartition(s.shards, "shard").sortWithinPartitions("shard", "h", "text", "label")
+    sample = keep(sample).coalesce(s.shards)
+    bias = 1 << s.bits
+    z, n = np.zeros(bias + 1), np.zeros(bias + 1)
+    for _ in range(s.epochs):
+        held = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))  # 2**bits coordinates
+
+        def written(state: State) -> pd.DataFrame:
+            cuts = range(0, bias + 1, CHUNK)
+            parts = {c: [x[i : i + CHUNK].astype(np.float32) for i in cuts] for c, x in (("z", state.z), ("n", state.n))}
+            return pd.DataFrame({"chunk": list(range(len(cuts))), **parts})
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            used, z, n = held.value
-            hashes, state, bias, rows = Hashes(), State(z, n, s), np.array([len(used)]), 0
+            hashes, at, state = Hashes(), None, None
             for batch in batches:
-                for value, y in zip(batch["text"], batch["label"]):
-                    at = features(value, hashes, s.bits)
-                    if len(used):
-                        place = np.searchsorted(used, at).clip(max=len(used) - 1)
-                        at = place[used[place] == at]
-                    state.learn(np.concatenate([at, bias]), float(y > 0))
-                    rows += 1
-            if rows:
-                cuts = range(0, len(state.z), CHUNK)
-                yield pd.DataFrame(
-                    {
-                        "chunk": list(range(len(cuts))),
-                        "z": [state.z[c : c + CHUNK] for c in cuts],
-                        "n": [state.n[c : c + CHUNK] for c in cuts],
-                    }
-                )
+                for shard, value, y in zip(batch["shard"], batch["text"], batch["label"]):
+                    if shard != at:
+                        if state is not None:
+                            yield written(state)
+                        at, state = shard, State(*(x.astype(np.float64) for x in held.value), s)
+                    state.learn(np.append(features(value, hashes, s.bits), bias), float(y > 0))
+            if state is not None:
+                yield written(state)
 
         def mean(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
             row = {c: [np.mean(np.stack(parts[c].to_list()), axis=0)] for c in ("z", "n")}
             return pd.DataFrame({"chunk": [key[0]], **row})
 
-        kind = "chunk int, z array<double>, n array<double>"
-        merged = sample.mapInPandas(run, kind).groupBy("chunk").applyInPandas(mean, kind)
-        parts = sorted(merged.collect(), key=lambda r: r["chunk"])  # the state: 2**bits coordinates at most
+        merged = sample.mapInPandas(run, state).groupBy("chunk").applyInPandas(mean, state)
+        parts = sorted(merged.collect(), key=lambda r: r["chunk"])
         held.unpersist()
         if not parts:
             break
         z, n = (np.concatenate([np.array(r[c]) for r in parts]) for c in ("z", "n"))
     weights = State(z, n, s).weights(slice(None))
     some = np.flatnonzero(weights[:-1])
-    return Model(used[some], weights[some], float(weights[-1]), s.bits)
+    return Model(some, weights[some], float(weights[-1]), s.bits)
 
 
 def score(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
