@@ -77,16 +77,26 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """id, root, level by doubling: each round a message learns of an ancestor twice as far up."""
-    up = keep(parents.select("id", F.coalesce("parent", "id").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("level")))
-    while True:
-        # Only ancestors that have one themselves; what hangs on a root is settled and not joined again.
-        further = keep(up.where(F.col("level") > 0).select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("level").alias("more")))
-        moved = up.join(further, "root", "left")
-        new = keep(moved.select("id", F.coalesce("next", "root").alias("root"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"), F.col("next").isNotNull().alias("moved")))
-        if new.where("moved").isEmpty():
-            return new.drop("moved")
-        up = new.drop("moved")
+    """id, root, level by doubling: each round a message learns of an ancestor twice as far up.
+
+    Messages whose ancestor is known to have none are done and written once; a round reads them only as
+    ancestors of those that are not, so long conversations do not make the others go round with them.
+    """
+    level = F.when(F.col("parent").isNull(), 0).otherwise(1)
+    up = keep(parents.select("id", F.coalesce("parent", "id").alias("root"), level.alias("level"), F.col("parent").isNull().alias("done")))
+    done, active = up.where("done"), up.where("not done")
+    while not active.isEmpty():
+        known = done.union(active).select(F.col("id").alias("root"), F.col("root").alias("next"), F.col("level").alias("more"), F.col("done").alias("end"))
+        moved = keep(
+            active.drop("done").join(known.where("more > 0"), "root", "left").select(
+                "id",
+                F.coalesce("next", "root").alias("root"),
+                (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
+                F.coalesce("end", F.lit(True)).alias("done"),
+            )
+        )
+        done, active = done.union(moved.where("done")), moved.where("not done")
+    return done.drop("done")
 
 
 def conversations(df: DataFrame, key: str = "message_id", sent: str = "sent", text: str = "text", scope: str | None = None) -> DataFrame:
