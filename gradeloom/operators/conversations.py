@@ -18,11 +18,15 @@ def _part(turn: str, part_turns: int | None) -> Column:
 
 
 def _parts(turns: DataFrame, conv: str, turn: str, part_turns: int | None, payload: list[Column]) -> DataFrame:
-    """`(conv, part, n_parts, _turns)`. Only conversations of several parts have a number to join."""
+    """`(conv, part, n_parts, _turns)`. Only conversations of several parts have a number to join: it comes
+    from a narrow aggregate that is there long before the turns are, and Spark broadcasts it if it is small."""
     grouped = turns.groupBy(F.col(conv), _part(turn, part_turns)).agg(
         F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), *payload))).alias("_turns")
     )
-    last = turns.groupBy(conv).agg(F.max(_part(turn, part_turns)).alias("_last")).where(F.col("_last") > 0)
+    wrong = F.raise_error(F.lit("turns of a conversation do not count 0, 1, 2, ...")).cast("long")
+    counted = (F.count(turn) == F.max(turn) + 1).alias("_counted")
+    last = turns.groupBy(conv).agg(F.max(_part(turn, part_turns)).alias("_last"), counted).where(F.col("_last") > 0)
+    last = last.select(conv, F.when(F.col("_counted"), F.col("_last")).otherwise(wrong).alias("_last"))
     counted = grouped.join(last, conv, "left")
     return counted.withColumn("n_parts", F.coalesce("_last", F.lit(0)) + 1).drop("_last")
 

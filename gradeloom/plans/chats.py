@@ -276,7 +276,7 @@ ORACLE = {
     "preference_format_parts": _preference_sql(3),
     "prompt_only_format": f"SELECT conv_id, part, n_parts, text AS prompt_text FROM {_grouped_sql(TURN_SQL)}",
     "long_conversations": f"""SELECT conv_id, CASE WHEN bool_or(role = 'wizard') THEN 'unknown role' END AS reject_reason,
-        count(*) AS n_messages, CAST(sum(n) + 22 AS BIGINT) AS chars, 1 AS n_cues,
+        count(*) AS n_messages, CAST(sum(n) + 22 AS BIGINT) AS chars, CAST(1 AS BIGINT) AS n_cues,
         round(coalesce(sum(n - head) FILTER (role = 'assistant'), 0)::DOUBLE / sum(n), 6) AS coverage
         FROM {_LONG_BLOCKS} GROUP BY conv_id""",
     "long_conversation_spans": f"""SELECT conv_id, CAST(after - n + head AS BIGINT) AS span_start,

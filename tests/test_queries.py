@@ -8,7 +8,10 @@ import __spark_entry__ as entry
 from compare import connect, difference
 from gradeloom.plans import chats, grading, rollouts, samples
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+# The numbered operators and the pipeline have tests of their own, and not all of them have SQL.
+NUMBERED = re.compile(r"op\d+_|pipeline$")
+QUERIES = {name: query for name, query in entry.queries().items() if not NUMBERED.match(name)}
+ORACLE = {name: sql for name, sql in entry.oracle_sql().items() if not NUMBERED.match(name)}
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
@@ -58,9 +61,13 @@ def test_scan_reads_only_what_is_used(spark, small):
     assert scan.startswith("struct<l_orderkey:bigint,l_partkey:bigint,l_linenumber:int,l_quantity:double>")
 
 
-def test_conversations_shuffle_once(spark, small):
-    assert exchanges(chats.chat_render(spark, small)) == 1
-    assert exchanges(chats.chat_render_turns(spark, small)) == 1
+@pytest.mark.parametrize("query", [chats.chat_render, chats.chat_render_turns])
+def test_texts_of_conversations_are_shuffled_once(spark, small, query):
+    df = query(spark, small)
+    df.collect()
+    ran = plan(df).split("Initial Plan")[0]
+    assert len(re.findall(r"Exchange hashpartitioning\(conv_id#\d+L, _grouping", ran)) == 1
+    assert "SortMergeJoin" not in ran
 
 
 def test_group_summary_combines_before_its_shuffle(spark, small):

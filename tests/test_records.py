@@ -242,3 +242,10 @@ def test_an_empty_part_is_not_an_empty_conversation(spark):
     got = {(r["conv_id"], r["part"]): r["reject_reason"] for r in with_reject_reason(df, ["messages"], "conv_id").collect()}
     empty = "empty conversation"
     assert got == {(1, 0): None, (1, 1): None, (2, 0): empty, (2, 1): empty, (3, 0): empty}
+
+
+def test_gaps_in_long_conversations_are_refused(spark):
+    turns = long_turns(spark).where("not (conv_id = 3 and turn = 3)")
+    assert assemble_conversations(turns, content="content").count() == 4
+    with pytest.raises(Exception, match="do not count"):
+        assemble_conversations(turns, content="content", part_turns=4).collect()
