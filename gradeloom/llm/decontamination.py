@@ -96,6 +96,25 @@ class Items:
         return found
 
 
+class Finder:
+    """Looks for the items of a block in texts."""
+
+    def __init__(self, block: Items, shingle: int):
+        self.block, self.shingle, self.hashes = block, shingle, Hashes()
+
+    def items(self, text: str | None) -> list[tuple[int, int]]:
+        """Place in the block and number of shared shingles of each item that the text holds."""
+        block, words = self.block, plain_words(text)
+        at, out = shingle_hashes(self.hashes.of(words), self.shingle), []
+        width = min(self.shingle, len(words))
+        for i in sorted(block.candidates(np.unique(at))):
+            places = np.flatnonzero(np.isin(at, block.hashes[i]))
+            shared = {b" ".join(words[p : p + width]) for p in places} & block.sets[i]
+            if len(shared) >= block.need[i]:
+                out.append((i, len(shared)))
+        return out
+
+
 def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
     """The items in blocks of bounded size, one after the other."""
     block, held = [], 0
@@ -135,19 +154,14 @@ def contained_items(
         held = context.broadcast(block)
 
         def search(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            block, hashes = Items(held.value, shingle, threshold), Hashes()
+            block = Items(held.value, shingle, threshold)
+            found = Finder(block, shingle)
             for batch in batches:
                 rows = []
                 for key, value in zip(batch["doc_id"], batch["text"]):
-                    words = plain_words(value)
-                    at = shingle_hashes(hashes.of(words), shingle)
-                    for i in sorted(block.candidates(np.unique(at))):
-                        places = np.flatnonzero(np.isin(at, block.hashes[i]))
-                        width = min(shingle, len(words))
-                        shared = {b" ".join(words[p : p + width]) for p in places} & block.sets[i]
-                        if len(shared) >= block.need[i]:
-                            n = len(block.sets[i])
-                            rows.append((key, block.ids[i], n, len(shared), len(shared) / n))
+                    for i, shared in found.items(value):
+                        n = len(block.sets[i])
+                        rows.append((key, block.ids[i], n, shared, shared / n))
                 frame = pd.DataFrame(rows, columns=["doc_id", "item_id", "n_shingles", "n_shared", "containment"])
                 yield frame.astype({"doc_id": object, "item_id": object})
 
@@ -156,12 +170,23 @@ def contained_items(
     return out
 
 
-def clean_documents(documents: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The documents that hold no item, rows and columns as they are.
+def clean_documents(
+    documents: DataFrame, items: DataFrame, shingle: int = 5, threshold: float = 0.8, item_id: str = "item_id", text: str = "text"
+) -> DataFrame:
+    """The rows of `documents` that hold no item, columns as they are.
 
-    Rows are told apart by their doc_id: if one row of a doc_id is contaminated, all its rows go.
-    Rows without a doc_id are judged together like those of one doc_id.
+    Every row is judged by its own text where it lies, so nothing is shuffled or joined and a doc_id may be
+    null or repeated. Rows without text or words hold nothing and stay.
     """
-    key = how.get("doc_id", "doc_id")
-    found = contained_items(documents, items, **how).select(F.col("doc_id").alias("__found")).distinct()
-    return documents.join(found, F.col(key).eqNullSafe(F.col("__found")), "left_anti")
+    context, kept = documents.sparkSession.sparkContext, documents
+    for block in _blocks(items.select(item_id, text)):
+        held = context.broadcast(block)
+
+        @F.pandas_udf("boolean")
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            found = Finder(Items(held.value, shingle, threshold), shingle)
+            for texts in batches:
+                yield pd.Series([not found.items(t) for t in texts], dtype=bool)
+
+        kept = kept.where(clean(F.col(text)))
+    return kept
