@@ -34,8 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), own))
     found = simhash.near_duplicates(keyed, key="__key").where(F.col("doc_id") == F.col("component_id"))
     first = keep(found.groupBy(F.col("doc_id").alias("__key")).agg(F.count("*").alias("n")))
-    single = keyed.join(first.where("n = 1"), "__key", "left_semi").select(*docs.columns)
-    shared = keyed.join(first.where("n > 1"), "__key", "left_semi")
+    # The list of keepers grows with the documents, so it is never broadcast: one shuffle, at every size.
+    single = keyed.join(first.where("n = 1").hint("merge"), "__key", "left_semi").select(*docs.columns)
+    shared = keyed.join(first.where("n > 1").hint("merge"), "__key", "left_semi")
     others = [c for c in docs.columns if c != "text"]
     one = shared.groupBy("__key", "text").agg(F.min(F.struct(*others)).alias("m")).select("m.*", "text")
     return single.unionByName(one.select(*docs.columns))
