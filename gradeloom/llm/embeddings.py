@@ -4,7 +4,8 @@ Every vector holds a short list of its nearest neighbours so far. Lists start fr
 trees and are refined: vectors that have a neighbour in common are compared, and whoever is nearer
 than the worst of a list goes into it. Lists and comparisons take vectors in bytes; the links are
 then checked in double precision. A list that is full of links may hide more of them: where that is so,
-the list is enlarged to all of the vector's component, compared in blocks.
+the list is enlarged to all of the vector's component and to the full lists of the label's other
+components, compared in blocks; components that turn out to link become one.
 """
 
 from __future__ import annotations
@@ -189,32 +190,66 @@ def _linked(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return keep(found.where(F.col("cos") >= threshold).select("u", "v"))
 
 
-def _enlarged(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """rid and n_linked within its set, for nodes (rid, set) of sets with full lists: all pairs of a
-    set, block by block; a block comes with every other block of the set, never with the whole set."""
-    placed, _ = numbered(sets, ["set", "rid"], "place")
+def _dealt(sets: DataFrame, nodes: DataFrame, order: list[str]) -> DataFrame:
+    """The nodes of sets (rid, set and the columns of `order`) in blocks i and j of a set: a block b
+    comes with every other block of its set, never with the whole set."""
+    placed, _ = numbered(sets, ["set", *order], "place")
     placed = keep(placed)
     first = keep(placed.groupBy("set").agg(F.min("place").alias("first"), F.count("*").alias("size")))
     block = ((F.col("place") - F.col("first")) / BLOCK).cast("int")
-    of = placed.join(first, "set").select("rid", "set", block.alias("b"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
+    of = placed.join(first, "set").select("set", *order, block.alias("b"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     of = keep(of).join(nodes.select("rid", "raw", "copies"), "rid")
     dealt = of.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("set", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "b", "rid", "raw", "copies")
+    return dealt.select("set", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "b", *order, "raw", "copies")
+
+
+def _near(group: pd.DataFrame, threshold: float) -> np.ndarray:
+    """Which vectors of two blocks link; inside a block only if it came alone, so that a pair counts once."""
+    x = _matrix(group["raw"], np.float64)
+    norm, b = np.sqrt(np.einsum("ij,ij->i", x, x)), group["b"].to_numpy()
+    near = (x @ x.T) / np.outer(norm, norm) >= threshold
+    np.fill_diagonal(near, False)
+    if group["i"].iloc[0] != group["j"].iloc[0]:
+        near &= b[:, None] != b[None, :]
+    return near
+
+
+def _enlarged(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """rid and n_linked within its set, for nodes (rid, set) of sets with full lists: all pairs of a
+    set, block by block."""
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        x = _matrix(group["raw"], np.float64)
-        norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-        b, copies = group["b"].to_numpy(), group["copies"].to_numpy()
-        near = (x @ x.T) / np.outer(norm, norm) >= threshold
-        np.fill_diagonal(near, False)
-        if group["i"].iloc[0] != group["j"].iloc[0]:
-            near &= b[:, None] != b[None, :]
-        return pd.DataFrame({"rid": group["rid"], "n_linked": near @ copies})
-
-    met = dealt.groupBy("set", "i", "j").applyInPandas(compare, "rid long, n_linked long")
+        return pd.DataFrame({"rid": group["rid"], "n_linked": _near(group, threshold) @ group["copies"].to_numpy()})
+
+    met = _dealt(sets, nodes, ["rid"]).groupBy("set", "i", "j").applyInPandas(compare, "rid long, n_linked long")
     return met.groupBy("rid").agg(F.sum("n_linked").alias("n_linked"))
 
 
+def _across(full: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links between different sets, for nodes (rid, set) with full lists: rid and n_across (links to
+    other sets), and the pairs (u, v) of sets that link.
+
+    A pair that is in neither list has both lists full, so all pairs of full lists of a label are
+    compared, block by block. Labels whose full lists are of one set have no such pair."""
+    spaced = keep(full.join(nodes.select("rid", *SPACE), "rid"))
+    spaces = spaced.groupBy(*SPACE).agg(F.min("rid").alias("space"), F.min("set").alias("a"), F.max("set").alias("z"))
+    sets = spaced.join(spaces.where("a < z"), SPACE).select(F.col("space").alias("set"), F.col("set").alias("own"), "rid")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        own, code = np.unique(group["own"].to_numpy(), return_inverse=True)
+        near = _near(group, threshold) & (code[:, None] != code[None, :])
+        linked, at = near @ group["copies"].to_numpy(), np.argwhere(np.triu(near))
+        met = np.unique(np.sort(code[at], axis=1), axis=0)
+        some = linked > 0
+        counts = pd.DataFrame({"u": group["rid"].to_numpy()[some], "v": linked[some], "of_sets": False})
+        return pd.concat([counts, pd.DataFrame({"u": own[met[:, 0]], "v": own[met[:, 1]], "of_sets": True})])
+
+    met = _dealt(sets, nodes, ["own", "rid"]).groupBy("set", "i", "j").applyInPandas(compare, "u long, v long, of_sets boolean")
+    met = keep(met)
+    counts = met.where("not of_sets").groupBy(F.col("u").alias("rid")).agg(F.sum("v").alias("n_across"))
+    return counts, met.where("of_sets").select("u", "v")
+
+
 def near_links(
     df: DataFrame,
     threshold: float = 0.93,
@@ -245,14 +280,20 @@ def near_links(
 
     # A list in which every place is taken by a link may have had no room for further ones.
     full = lists.where((F.size("pairs") >= how.neighbours) & (F.element_at("pairs", -1)["sim"] >= threshold - how.slack)).select("rid")
-    crowded = keep(named.join(full, "rid", "left_semi").select("set").distinct())
+    full = keep(named.join(full, "rid", "left_semi").select("rid", "set"))
+    crowded = keep(full.select("set").distinct())
     enlarged = _enlarged(named.join(crowded, "set", "left_semi").select("set", "rid"), nodes, threshold)
     both = links.union(links.select("v", "u")).toDF("rid", "other").join(named.select(F.col("rid").alias("other"), "copies"), "other")
     listed = both.groupBy("rid").agg(F.sum("copies").alias("n_listed"))
 
+    across, bridges = _across(full, nodes, threshold)
+    merged = keep(components(bridges)).withColumnRenamed("node", "set")
+    named = named.join(merged, "set", "left").withColumn("set", F.coalesce("component", "set")).drop("component")
+    named = keep(named)
+
     least = keep(named.groupBy("set").agg(F.min("least").alias("component_id")))
-    counted = named.join(keep(listed), "rid", "left").join(keep(enlarged), "rid", "left").join(least, "set")
-    linked = F.coalesce("n_linked", "n_listed", F.lit(0)) + F.col("copies") - 1
+    counted = named.join(keep(listed), "rid", "left").join(keep(enlarged), "rid", "left").join(keep(across), "rid", "left").join(least, "set")
+    linked = F.coalesce("n_linked", "n_listed", F.lit(0)) + F.coalesce("n_across", F.lit(0)) + F.col("copies") - 1
     result = keep(counted.select("rid", linked.cast("long").alias("n_links"), "component_id"))
     of_vector = keep(nodes.join(result, "rid").select(*SPACE, "raw", "n_links", "component_id"))
     alone = rows.where(F.col("raw").isNull()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

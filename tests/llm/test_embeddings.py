@@ -52,6 +52,19 @@ def test_links_against_brute_force(spark):
     assert asked and all(r["n_true"] == r["n_links"] for r in asked)
 
 
+def test_clumps_whose_lists_are_full_of_their_own_still_link(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = np.linalg.qr(rng.normal(size=(64, 3)))[0].T
+    centers = [a, 0.953 * a + np.sqrt(1 - 0.953**2) * b, 0.5 * a + np.sqrt(0.75) * c]  # the third is far from both
+    rows = []
+    for i in range(120):
+        rows.append((i, (centers[i % 3] + rng.normal(size=64) * 0.0065).tolist(), 1, "x"))
+    rows += [(120 + i, rows[i][1], 1, "x") for i in range(5)] + [(125 + i, rows[i][1], 2, "x") for i in range(60)]
+    want = brute(rows)
+    assert len({want[i][1] for i in range(120)}) == 2 and want[6][0] >= 60
+    assert found(near_links(spark.createDataFrame(rows, SCHEMA))) == want
+
+
 def test_one_label_with_most_rows_and_few_neighbours_kept(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(size=(150, 16))
