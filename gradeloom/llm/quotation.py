@@ -63,7 +63,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     own = messages.select("id", "scope", "sent", without_quotes("parts").alias("body")).union(
         runs.where(F.col("depth") == 0).select("id", "scope", "sent", "body")
     )
-    written = _hashed(own)
+    written = _hashed(own.where(F.col("sent").isNotNull()))  # nulls would come first and hide the dated writers
     first = F.min(F.struct("sent", "id")).alias("o")
     here = keep(written.groupBy("hash", "scope").agg(first))
     anywhere = keep(here.groupBy("hash").agg(F.min("o").alias("a")))

@@ -56,6 +56,14 @@ def test_scope_comes_first_and_repeats_fold(spark):
     assert talk(spark, rows)["c"]["parent_id"] == "a"
 
 
+def test_an_undated_copy_hides_no_dated_original(spark):
+    rows = [("a", 1, "same words", "l1"), ("u", None, "same words", "l1"), ("v", None, "same words", "l2")]
+    rows += [("b", 2, "> same words\nx", "l1"), ("c", 3, "> same words\ny", "l2"), ("d", 4, "> same words\nz", "l3")]
+    got = talk(spark, rows, scope="list")
+    assert {k: got[k]["parent_id"] for k in "auvbcd"} == {"a": None, "u": None, "v": None, "b": "a", "c": "a", "d": "a"}
+    assert [got[k]["n_linked"] for k in "bcd"] == [1, 1, 1]
+
+
 def test_long_chain_and_common_message(spark):
     rows = [("m000", 0, "text 0")] + [(f"m{i:03}", i, f"> text {i - 1}\ntext {i}") for i in range(1, 70)]
     rows += [(f"r{i:03}", 100 + i, f"> text 0\nreply {i}") for i in range(300)]
