@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, embeddings, language, packing, pii, quotation, revisits, sharding, simhash, toxicity
+from gradeloom.llm import (
+    codes,
+    decontamination,
+    embeddings,
+    interactions,
+    language,
+    packing,
+    pii,
+    quality,
+    quotation,
+    revisits,
+    sharding,
+    simhash,
+    toxicity,
+)
 from gradeloom.sources.readers import read_table
 
 SHARDS = 16
@@ -120,6 +134,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    learnt = _crc("doc_id") % 3 != 1
+    model = quality.fit(docs.where(learnt), labels.where(learnt))
+    held_out = F.coalesce(_crc("doc_id") % 3 == 1, F.lit(False))
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op12_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(read_table(spark, folder, "embeddings"))
+
+
+def op13_interactions(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    return interactions.audit(interactions.document_masks(docs, labels))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embeddings": op2_embeddings,
@@ -131,6 +162,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_quality": op11_quality,
+    "op12_codes": op12_codes,
+    "op13_interactions": op13_interactions,
 }
 
 _SHINGLES = """
@@ -145,7 +179,55 @@ _KEY = """regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)
     || regexp_replace(regexp_extract(substr(bare, length(regexp_extract(bare, '^[^/?]*', 0)) + 1), '^[^?]*', 0), '/+$', '')
     || CASE WHEN len(params) > 0 THEN '?' || array_to_string(list_sort(params), '&') ELSE '' END"""
 
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Every round spelt out: distances of all parts to all entries, the nearest, the means."""
+    out = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, q) AS r, vec_id, label, q, len(q) // {parts} AS w
+  FROM (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0))""",
+        f"x AS MATERIALIZED (SELECT r, p, j, q[p * w + j + 1] AS c FROM v, range({parts}) a(p), range(w) b(j))",
+        f"b0 AS MATERIALIZED (SELECT p, r - 1 AS e, j, c AS m FROM x WHERE r <= {entries})",
+    ]
+    for n in range(rounds + 1):
+        out.append(
+            f"""a{n} AS MATERIALIZED (SELECT r, p, min(struct_pack(d := d, e := e)) AS best FROM (SELECT r, x.p, e, sum((c - m) * (c - m))::BIGINT AS d
+    FROM x JOIN b{n} b ON x.p = b.p AND x.j = b.j GROUP BY ALL) GROUP BY ALL)"""
+        )
+        out.append(
+            f"""b{n + 1} AS MATERIALIZED (SELECT p, e, j, coalesce(s, m) AS m FROM b{n} LEFT JOIN
+    (SELECT p, best.e AS e, j, floor(sum(c) / count(*)::DOUBLE)::BIGINT AS s FROM x JOIN a{n} USING (r, p) GROUP BY ALL) USING (p, e, j))"""
+        )
+    return f"""WITH {", ".join(out)},
+o AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(m::VARCHAR, ',' ORDER BY p, e, j)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN o USING (r)"""
+
+
+_INTERACTIONS = """WITH RECURSIVE t AS MATERIALIZED (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    [x for x in string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if x <> ''] AS w FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id),
+s AS (SELECT text, min(doc_id) AS least FROM t GROUP BY text),
+d AS MATERIALIZED (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    concat(CASE WHEN len(w) < 100 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+      CASE WHEN 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 10 * length(t.text) THEN 'C' ELSE '' END,
+      CASE WHEN regexp_matches(t.text, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails
+  FROM t JOIN s USING (text) LEFT JOIN l USING (doc_id)),
+m AS MATERIALIZED (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM d GROUP BY ALL),
+o AS (SELECT '' AS o UNION ALL SELECT o || f FROM o, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(o, f)),
+g AS MATERIALIZED (SELECT o AS filter_order, i AS step, substr(o, i, 1) AS f, substr(o, 1, i - 1) AS before FROM o, range(1, 6) r(i) WHERE length(o) = 5),
+c AS MATERIALIZED (SELECT part, filter_order, step::INT AS step, f,
+    coalesce(sum(n) FILTER (NOT late AND NOT contains(fails, f)), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT late AND contains(fails, f)), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (late AND contains(fails, f)), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT late AND contains(fails, f)), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT late AND contains(fails, f)), 0)::BIGINT AS toxic_lost
+  FROM (SELECT *, fails <> translate(fails, before, '') AS late FROM m, g) GROUP BY ALL)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM c"""
+
 ORACLE = {
+    "op12_codes": _codes_sql(),
+    "op13_interactions": _INTERACTIONS,
     "op3_quotation": """WITH RECURSIVE c AS (
   SELECT conv_id, turn, coalesce(text, '') AS text, concat(conv_id, '/', turn) AS id,
     trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')) AS unit FROM conversations),
