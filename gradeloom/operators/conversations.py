@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.chat import block_chars, chat_chars, render_block, trainable_chars
 from gradeloom.functions.messages import as_text, common_prefix_size, split_common_prompt
+from gradeloom.operators.scan import FAN, LEVELS, sum_before
 
 # Turns per row. A conversation beyond this continues in further rows, so no row and no task has
 # to hold an unbounded conversation. A part is storage only: whatever is decided about a conversation
@@ -19,16 +20,22 @@ def _part(turn: str, part_turns: int | None) -> Column:
 
 def _parts(turns: DataFrame, conv: str, turn: str, part_turns: int | None, payload: list[Column]) -> DataFrame:
     """`(conv, part, n_parts, _turns)`. Only conversations of several parts have a number to join: it comes
-    from a narrow aggregate that is there long before the turns are, and Spark broadcasts it if it is small."""
+    from a narrow aggregate that is there long before the turns are, and Spark broadcasts it if it is small.
+
+    Turns that do not count 0, 1, 2, ... make the job fail when `_turns` is read. A part shows by itself that its
+    turns follow each other from its start; then no part is cut short or missing if a conversation has
+    as many turns as its last one says.
+    """
+    size = part_turns or PART_TURNS
     grouped = turns.groupBy(F.col(conv), _part(turn, part_turns)).agg(
         F.array_sort(F.collect_list(F.struct(F.col(turn).alias("turn"), *payload))).alias("_turns")
     )
-    wrong = F.raise_error(F.lit("turns of a conversation do not count 0, 1, 2, ...")).cast("long")
-    counted = (F.count(turn) == F.max(turn) + 1).alias("_counted")
-    last = turns.groupBy(conv).agg(F.max(_part(turn, part_turns)).alias("_last"), counted).where(F.col("_last") > 0)
-    last = last.select(conv, F.when(F.col("_counted"), F.col("_last")).otherwise(wrong).alias("_last"))
-    counted = grouped.join(last, conv, "left")
-    return counted.withColumn("n_parts", F.coalesce("_last", F.lit(0)) + 1).drop("_last")
+    in_row = ~F.exists(F.transform("_turns", lambda t, i: F.coalesce(t["turn"] == F.col("part") * size + i, F.lit(False))), lambda ok: ~ok)
+    last = turns.groupBy(conv).agg(F.max(_part(turn, part_turns)).alias("_last"), (F.count(turn) == F.max(turn) + 1).alias("_counted"))
+    joined = grouped.join(last.where(F.col("_last") > 0), conv, "left")
+    wrong = F.raise_error(F.lit("turns of a conversation do not count 0, 1, 2, ...")).cast(grouped.schema["_turns"].dataType)
+    checked = F.when(in_row & (F.col("part") >= 0) & F.coalesce("_counted", F.lit(True)), F.col("_turns")).otherwise(wrong)
+    return joined.withColumns({"_turns": checked, "n_parts": F.coalesce("_last", F.lit(0)) + 1}).drop("_last", "_counted")
 
 
 def with_whole(parts: DataFrame, facts: dict[str, tuple[Column, Column]], conv: str = "conv_id") -> DataFrame:
@@ -96,15 +103,17 @@ def part_lengths(
     return turns.groupBy(F.col(conv), _part(turn, part_turns)).agg(chars)
 
 
-def with_part_offset(parts: DataFrame, lengths: DataFrame, conv: str = "conv_id") -> DataFrame:
+def with_part_offset(
+    parts: DataFrame, lengths: DataFrame, conv: str = "conv_id", fan: int = FAN, levels: int = LEVELS
+) -> DataFrame:
     """Add `offset`, the number of characters before each part in its whole conversation.
 
-    The running sum goes over `(conv, part, chars)` alone, one row per `part_turns` turns, so the
-    texts of a long conversation are never brought together. Only later parts have an offset to
-    join; where no conversation is long the join falls away at run time.
+    The running sum goes over `(conv, part, chars)` alone, one row per `part_turns` turns, piece by piece, so
+    neither the texts nor the lengths of a long conversation are ever brought together. Only later parts have
+    an offset to join; where no conversation is long the join falls away at run time.
     """
-    before = W.partitionBy(conv).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = lengths.select(conv, "part", F.sum("chars").over(before).alias("_offset")).where(F.col("part") > 0)
+    offsets = sum_before(lengths.select(conv, "part", "chars"), [conv], "part", "chars", "_offset", fan, levels)
+    offsets = offsets.where(F.col("part") > 0).drop("chars")
     placed = parts.join(offsets, [conv, "part"], "left")
     return placed.withColumn("offset", F.coalesce(F.col("_offset"), F.lit(0)).cast("long")).drop("_offset")
 

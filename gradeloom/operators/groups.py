@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gradeloom.operators.skew import HOT_ROWS, join_group_stats, split_hot
+from gradeloom.operators.skew import HOT_ROWS, crowded_places, replicated, with_salt
 
 
 def _spread(reward: Column, ddof: int) -> Column:
@@ -29,31 +29,34 @@ def group_advantage(
 ) -> DataFrame:
     """Add `group_mean`, `group_std` and `advantage`, the reward normalised within its group.
 
-    `reward` names a column, or is an expression that is added as column `reward`; an expression is
-    worked out only after hot groups are set apart, so it costs nothing to find them.
+    `reward` names a column, or is an expression that is added as column `reward`.
 
-    Ordinary groups share one window, so one shuffle of the rows. Groups above `hot_rows` rows are
-    aggregated before the shuffle and their few statistics are broadcast back, so their rows are
-    not shuffled at all. Give `hot_rows=None` where the group size is fixed by construction.
+    One shuffle of the rows, on (group, salt). Ordinary groups have one salt, and a window gives their
+    statistics. Groups of more than `hot_rows` rows, if they are large beside the table as well, have many salts:
+    their statistics are aggregated with map-side combine, written out once for every salt and met by the rows
+    where these lie already, so no group of any size is in one task. Give `hot_rows=None` where the
+    group size is fixed by construction.
     """
     name = reward if isinstance(reward, str) else "reward"
     r = F.col(name)
-    window = W.partitionBy(*group)
 
     def rewarded(rows: DataFrame) -> DataFrame:
         return rows if isinstance(reward, str) else rows.withColumn(name, reward)
 
-    def windowed(rows: DataFrame) -> DataFrame:
-        return rewarded(rows).withColumns(
-            {"group_mean": F.avg(r).over(window), "group_std": _spread(r, ddof).over(window)}
-        )
-
+    stats = {"group_mean": F.avg(r), "group_std": _spread(r, ddof)}
     if hot_rows is None:
-        placed = windowed(df)
+        window = W.partitionBy(*group)
+        placed = rewarded(df).withColumns({n: s.over(window) for n, s in stats.items()})
     else:
-        ordinary, hot = split_hot(df, group, hot_rows)
-        stats = [F.avg(r).alias("group_mean"), _spread(r, ddof).alias("group_std")]
-        placed = windowed(ordinary).unionByName(join_group_stats(rewarded(hot), group, stats))
+        crowded = crowded_places(df, group, hot_rows)
+        window = W.partitionBy("_group", "_salt")
+        rows = rewarded(with_salt(df, group, crowded))
+        rows = rows.withColumns({f"_own_{n}": s.over(window) for n, s in stats.items()})
+        hot = rewarded(with_salt(df, group, crowded).where(F.col("_salts").isNotNull()))
+        of_group = hot.groupBy(*group).agg(*[s.alias(n) for n, s in stats.items()])
+        joined = rows.join(replicated(of_group, group, crowded, False), ["_group", "_salt"], "left")
+        chosen = {n: F.when(F.col("_salts").isNull(), F.col(f"_own_{n}")).otherwise(F.col(n)) for n in stats}
+        placed = joined.withColumns(chosen).select(*rewarded(df).columns, *stats)
     return placed.withColumn("advantage", advantage(r, F.col("group_mean"), F.col("group_std"), eps))
 
 

@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.chat import render_chat
 from gradeloom.functions.text import word_count
+from gradeloom.operators import order as O
 from gradeloom.operators import sampling as S
 from gradeloom.operators.conversations import with_whole
 from gradeloom.plans.inputs import TURN_SQL, conversations
+from gradeloom.session import shared_dir
 from gradeloom.sources.readers import read_table
 
 SEED = 42
+RANGE_ROWS = 500
 _KEY = ["o_orderkey"]
 
 
@@ -62,6 +65,15 @@ def resume_epoch(spark: SparkSession, folder: str) -> DataFrame:
     return S.resume_from(epoch_order(spark, folder), 1000)
 
 
+def order_across_epochs(spark: SparkSession, folder: str) -> DataFrame:
+    """A thousand places in a row: the end of the first epoch and the beginning of the second."""
+    orders, path = _orders(spark, folder), shared_dir(spark)
+    for epoch in (0, 1):
+        O.write_epoch(orders, _KEY, SEED, epoch, path, range_rows=RANGE_ROWS)
+    n = orders.count()
+    return O.read_places(spark, path, n - 600, 1000, n, RANGE_ROWS).select("o_orderkey", "o_orderpriority", "epoch", "pos", "place")
+
+
 def batch_plan(spark: SparkSession, folder: str) -> DataFrame:
     batch = S.global_batch(micro=8, grad_accum=4, gpus=8)
     return S.batch_plan(epoch_order(spark, folder), batch).select("o_orderkey", "step", "slot")
@@ -102,6 +114,7 @@ QUERIES = {
     "epoch_reshuffle": epoch_reshuffle,
     "epoch_order_copies": epoch_order_copies,
     "resume_epoch": resume_epoch,
+    "order_across_epochs": order_across_epochs,
     "batch_plan": batch_plan,
     "prompt_group_expand": prompt_group_expand,
     "length_budget": length_budget,
@@ -121,6 +134,9 @@ ORACLE = {
         ORDER BY md5('42:0:' || l_orderkey || ':' || l_linenumber), l_orderkey, l_linenumber) - 1 AS pos
         FROM lineitem""",
     "resume_epoch": f"SELECT * FROM {_PLACED} WHERE pos >= 1000",
+    "order_across_epochs": f"""SELECT * FROM (SELECT *, 0 AS epoch, pos AS place FROM {_PLACED} UNION ALL
+        SELECT *, 1, pos + (SELECT count(*) FROM orders) FROM {_PLACED.replace('42:0:', '42:1:')})
+        WHERE place - (SELECT count(*) FROM orders) BETWEEN -600 AND 399""",
     "batch_plan": f"""SELECT o_orderkey, CAST(floor(pos / 256) AS BIGINT) AS step, pos % 256 AS slot FROM {_PLACED}""",
     "prompt_group_expand": "SELECT o_orderkey, g AS sample_no FROM orders, unnest([0, 1, 2, 3, 4, 5, 6, 7]) AS t(g)",
     "length_budget": f"""SELECT conv_id, unnest(range(n_parts)) AS part, n_parts, n AS length, n <= 400 AS within_budget

@@ -244,8 +244,12 @@ def test_an_empty_part_is_not_an_empty_conversation(spark):
     assert got == {(1, 0): None, (1, 1): None, (2, 0): empty, (2, 1): empty, (3, 0): empty}
 
 
-def test_gaps_in_long_conversations_are_refused(spark):
-    turns = long_turns(spark).where("not (conv_id = 3 and turn = 3)")
-    assert assemble_conversations(turns, content="content").count() == 4
-    with pytest.raises(Exception, match="do not count"):
-        assemble_conversations(turns, content="content", part_turns=4).collect()
+@pytest.mark.parametrize("steps, size", [([0, 1, 1, 4, 4], n) for n in (1, 2, 3, 1_000_000)] + [([1, 2], 2), ([0, 1, None], 4), ([-1, 0], 1), ([0, 1, 4, 5], 2)])
+def test_turns_that_do_not_count_are_refused(spark, steps, size):
+    rows = [(1, t, "user", "x") for t in steps] + [(2, t, "user", "y") for t in range(6)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, content string")
+    for read in (assemble_conversations(turns, content="content", part_turns=size).select("messages"), render_turns(turns, content="content", part_turns=size).select("text")):
+        with pytest.raises(Exception, match="do not count"):
+            read.collect()
+    good = assemble_conversations(turns.where("conv_id = 2"), content="content", part_turns=size)
+    assert sum(len(r["messages"]) for r in good.collect()) == 6

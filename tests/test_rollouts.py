@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.operators import groups as G
+from gradeloom.operators import skew
 from gradeloom.operators.gae import gae
 
 
@@ -47,6 +48,25 @@ def test_reward_given_as_an_expression(rewards):
     assert sorted(named) == sorted(made)
 
 
+def test_no_group_is_in_one_task(spark):
+    """A group with one row in 20,000, far from the largest that a short list of groups would name."""
+    df = spark.range(1_000_000).select(F.when(F.col("id") % 20_000 == 0, -1).otherwise(F.col("id")).alias("g"), F.lit(1.0).alias("r"))
+    crowded = skew.crowded_places(df, ["g"], hot_rows=20)
+    assert [r["_salts"] for r in crowded.collect()] == [5]
+    salted = skew.with_salt(df, ["g"], crowded).where("g = -1").agg(F.count_distinct("_salt"), F.count("*")).first()
+    assert salted[0] >= 4 and salted[1] == 50
+    got = G.group_advantage(df, ["g"], "r", hot_rows=20).where("g = -1").agg(F.count("*"), F.min("group_mean"), F.max("group_std")).first()
+    assert tuple(got) == (50, 1.0, 0.0)
+
+
+def test_statistics_reach_rows_of_all_groups(rewards):
+    rows, df = rewards
+    stats = df.groupBy("g").agg(F.max("r").alias("top"))
+    for hot_rows in (5, 100, 10_000):
+        got = {r["id"]: r["top"] for r in skew.join_stats(df, stats, ["g"], hot_rows).collect()}
+        assert got == {i: max(r for _, r, _ in members) for members in by_group(rows).values() for i, _, _ in members}
+
+
 def test_no_spread_and_no_eps(spark):
     df = spark.createDataFrame([(1, 0.5), (1, 0.5), (2, 1.0)], "g long, r double")
     assert [r["advantage"] for r in G.group_advantage(df, ["g"], "r", eps=0.0).collect()] == [0.0, 0.0, 0.0]
@@ -113,14 +133,21 @@ def test_gae_over_many_chunks(spark, fan):
     assert gae(df.limit(0), ["k"]).count() == 0
 
 
-@pytest.mark.parametrize("left_out", [0, 4, 8, 16])
-def test_gae_refuses_gaps_and_repeats(spark, left_out):
+@pytest.mark.parametrize("steps, chunk", [([0, 1, 1, 4, 4], c) for c in (1, 2, 3, 5, 4096)] + [([1, 2], 2), ([0, 2], 1), ([0, 0], 4), ([0, None], 4), ([-1, 0], 1)])
+def test_gae_refuses_what_does_not_count(spark, steps, chunk):
+    good = [("b", i, 1.0, 0.0) for i in range(7)]
+    df = spark.createDataFrame([("a", i, 1.0, 0.0) for i in steps] + good, "k string, step long, reward double, value double")
+    with pytest.raises(Exception, match="do not count"):
+        gae(df, ["k"], chunk=chunk).select("advantage").collect()
+
+
+@pytest.mark.parametrize("left_out, fan", [(0, 4096), (8, 2), (31, 3)])
+def test_gae_refuses_gaps_and_repeats(spark, left_out, fan):
     rows = [("a", i, 1.0, 0.0) for i in range(40)]
     df = spark.createDataFrame(rows, "k string, step long, reward double, value double")
-    with pytest.raises(ValueError):
-        gae(df.where(F.col("step") != left_out), ["k"], chunk=8)
-    with pytest.raises(ValueError):
-        gae(df.union(df.where(F.col("step") == left_out)), ["k"], chunk=8)
+    for wrong in (df.where(F.col("step") != left_out), df.union(df.where(F.col("step") == left_out)), df.where(F.floor(F.col("step") / 8) != left_out // 8)):
+        with pytest.raises(Exception, match="do not count"):
+            gae(wrong, ["k"], gamma=0.9, chunk=8, fan=fan).select("value_target").collect()
 
 
 def test_gae_limits(spark):
