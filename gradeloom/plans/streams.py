@@ -55,7 +55,10 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 def group_advantage_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Groups are a user's events of one hour; every event comes out."""
     events, path = _events(spark, folder), shared_dir(spark)
-    run_writer(stream_group_advantage(events, "ts", ["user_id"], "value", "1 hour", f"{path}/table", f"{path}/checkpoint"))
+    writer = stream_group_advantage(
+        events, "ts", ["user_id"], "value", "1 hour", f"{path}/table", f"{path}/checkpoint", windows_per_folder=7 * 24
+    )
+    run_writer(writer)
     done = landed_advantages(spark, f"{path}/table", events.schema)
     return done.select("event_id", "user_id", F.round("group_mean", 6).alias("group_mean"), F.round("advantage", 6).alias("advantage"))
 
@@ -64,7 +67,7 @@ def delivered_once_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Every event arrives twice; the second copy is dropped."""
     twice = _events(spark, folder).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
     path = shared_dir(spark)
-    run_writer(stream_once(twice, ["event_id"], f"{path}/table", f"{path}/checkpoint"))
+    run_writer(stream_once(twice, ["event_id"], f"{path}/table", f"{path}/checkpoint", buckets=16))
     return landed_once(spark, f"{path}/table", twice.schema).select("event_id", "user_id", "value")
 
 

@@ -38,9 +38,10 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def write_folders(df: DataFrame, path: str, by: list[str]) -> None:
     """Write `df` into the folders that its columns `by` name, replacing these folders and no others, so that
-    a batch that is repeated replaces what it wrote the first time."""
-    out = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(*by).parquet(path)
+    a batch that is repeated replaces what it wrote the first time. Rows of a folder are brought together, but
+    for folders that are large, which Spark splits again."""
+    out = df.hint("rebalance", *[F.col(c) for c in by[:1]]).write.mode("overwrite")
+    out.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def read_folders(spark: SparkSession, path: str, folders: list[str], schema: T.StructType) -> DataFrame:

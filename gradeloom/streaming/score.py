@@ -76,7 +76,7 @@ def stream_once(
             # The index is made from what has just been written, so that rows and keys agree.
             landed = spark.read.schema(plain).parquet(rows)
             indexed = landed.select(*unique_by, bucket.alias(_BUCKET), F.lit(0).alias(_LEVEL), F.lit(number).cast("long").alias(_BATCH))
-            write_folders(indexed.repartition(_BUCKET), keys, [_BUCKET, _LEVEL, _BATCH])
+            write_folders(indexed, keys, [_BUCKET, _LEVEL, _BATCH])
             total, kept = delivered.count(), landed.count()
             _counts(spark, path, number, delivered=total, landed=kept, repeated=total - kept)
         finally:
@@ -90,7 +90,7 @@ def _folded(spark: SparkSession, seen: DataFrame, keys: str, touched: list[str],
     written again, so a batch that breaks off leaves some keys twice, which the index does not mind."""
     last = number - 1
     whole = seen.withColumns({_LEVEL: F.lit(1), _BATCH: F.lit(last).cast("long")})
-    write_folders(whole.distinct().repartition(_BUCKET), f"{keys}", [_BUCKET, _LEVEL, _BATCH])
+    write_folders(whole.distinct(), keys, [_BUCKET, _LEVEL, _BATCH])
     for folder in touched:
         for level in versions(spark, f"{keys}/{folder}", _LEVEL):
             for batch in versions(spark, f"{keys}/{folder}/{name_of(_LEVEL, level)}", _BATCH):
@@ -104,34 +104,37 @@ def landed_once(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def stream_group_advantage(
-    scored: DataFrame, ts: str, group: list[str], reward: str, width: str, path: str, checkpoint: str, eps: float = 1e-4
-) -> DataStreamWriter:
+    scored: DataFrame, ts: str, group: list[str], reward: str, width: str, path: str, checkpoint: str, eps: float = 1e-4,
+    windows_per_folder: int = 1,
+) -> DataStreamWriter:
     """Land scored rows in `path` and keep their group-normalised advantages per event-time window.
 
-    Rows lie in one folder per window, and a batch reads the folders of its own windows, no others. The size,
-    mean and squared deviations of every group of a window are kept too: a batch works them out for its own rows
-    and merges them with those before. With them the rows of the touched windows get their advantages, so
-    a late row reopens its window, the last window needs no later event to come out, and nothing is held in
-    stream state. A batch and the version before it stay, older versions of a window are removed. Rows without a
-    timestamp form a window of their own. `landed_advantages` reads the latest version of each window,
-    `landed_counts` the landed rows of each batch and those that came late, to a window of an earlier batch.
+    Rows lie in one folder per window, or per `windows_per_folder` windows that follow each other, and a batch reads
+    the folders of its own windows, no others. The size, mean and squared deviations of every group of a window are kept
+    too: a batch works them out for its own rows and merges them with those before. With them the rows of the
+    touched folders get their advantages, so a late row reopens its window, the last window needs no later event to
+    come out, and nothing is held in stream state. A batch and the version before it stay, older versions of a
+    folder are removed. Rows without a timestamp form a window of their own. Take more windows to a folder where a
+    batch spans many: every folder costs the driver a few file operations. `landed_advantages` reads the
+    latest versions, `landed_counts` the landed rows of each batch and those that came late, to a window of an
+    earlier batch.
     """
     plain = scored.schema
     of_rows = T.StructType([*plain, T.StructField(WINDOW, T.TimestampType()), T.StructField(_AT, T.LongType()), T.StructField(_BATCH, T.LongType())])
-    of_moments = T.StructType([*[plain[g] for g in group], *_MOMENTS, T.StructField(_AT, T.LongType()), T.StructField(_VERSION, T.LongType())])
-    keys = [_AT, *group]
+    of_moments = T.StructType([T.StructField(WINDOW, T.TimestampType()), *[plain[g] for g in group], *_MOMENTS, T.StructField(_AT, T.LongType()), T.StructField(_VERSION, T.LongType())])
+    keys = [_AT, WINDOW, *group]
 
     def land(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        rows = _windowed(batch, ts, width).withColumns({_AT: F.unix_seconds(WINDOW), _BATCH: F.lit(number).cast("long")}).persist()
+        rows = _windowed(batch, ts, width, windows_per_folder).withColumn(_BATCH, F.lit(number).cast("long")).persist()
         try:
             write_folders(rows, f"{path}/rows", [_AT, _BATCH])
-            windows = different(rows, _AT)  # as many as the batch's times span
-            names = [name_of(_AT, w) for w in windows]
-            last = {n: [v for v in versions(spark, f"{path}/moments/{n}", _VERSION) if v < number][-1:] for n in names}
+            names = [name_of(_AT, w) for w in different(rows, _AT)]  # as many as the batch's times span
+            old = set(existing(spark, f"{path}/moments", names))
+            last = {n: [v for v in versions(spark, f"{path}/moments/{n}", _VERSION) if v < number][-1:] if n in old else [] for n in names}
             known = [f"{n}/{name_of(_VERSION, v)}" for n, vs in last.items() for v in vs]
-            before = read_folders(spark, f"{path}/moments", known, of_moments)
-            merged = _merged(_moments(rows, keys, reward), before.select(*keys, "n", "mean", "m2"), keys)
+            before = read_folders(spark, f"{path}/moments", known, of_moments).drop(_VERSION)
+            merged = _merged(_moments(rows, keys, reward), before, keys)
             write_folders(merged.withColumn(_VERSION, F.lit(number).cast("long")), f"{path}/moments", [_AT, _VERSION])
 
             now = read_folders(spark, f"{path}/moments", [f"{n}/{name_of(_VERSION, number)}" for n in names], of_moments)
@@ -144,14 +147,13 @@ def stream_group_advantage(
             sized = sized.select(*plain.names, WINDOW, "group_mean", "group_std", "advantage", _AT, F.lit(number).cast("long").alias(_VERSION))
             write_folders(sized, f"{path}/advantages", [_AT, _VERSION])
 
-            late = [w for w in windows if last[name_of(_AT, w)]]
-            open_ = F.col(_AT).isin(*[w for w in late if w is not None]) if any(w is not None for w in late) else F.lit(False)
-            came = rows.agg(F.count(F.lit(1)), F.count_if(open_ | (F.col(_AT).isNull() & F.lit(None in late)))).first()
-            _counts(spark, path, number, landed=came[0], late=came[1])
-            for n in names:  # the version before stays for readers that are at it
+            seen = before.select(F.col(WINDOW).alias("_seen")).distinct()
+            late = rows.join(seen, F.col(WINDOW).eqNullSafe(F.col("_seen")), "left_semi").count() if known else 0
+            _counts(spark, path, number, landed=rows.count(), late=late)
+            for n in [n for n in names if last[n]]:  # the version before stays for readers that are at it
                 for table in ("moments", "advantages"):
                     for v in versions(spark, f"{path}/{table}/{n}", _VERSION):
-                        if v < (last[n] or [number])[0]:
+                        if v < last[n][0]:
                             remove(spark, f"{path}/{table}/{n}/{name_of(_VERSION, v)}")
         finally:
             rows.unpersist()
@@ -175,10 +177,16 @@ def _merged(new: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("m2", F.aggregate("_of", F.lit(0.0), lambda a, m: a + part(m))).drop("_of")
 
 
-def _windowed(batch: DataFrame, ts: str, width: str) -> DataFrame:
-    """Rows with the start of their window. `window` leaves rows without a time out; they are put back."""
-    timed = batch.where(F.col(ts).isNotNull()).withColumn(WINDOW, F.window(ts, width)["start"])
-    return timed.unionByName(batch.where(F.col(ts).isNull()).withColumn(WINDOW, F.lit(None).cast("timestamp")))
+def _windowed(batch: DataFrame, ts: str, width: str, per_folder: int) -> DataFrame:
+    """Rows with the start of their window and, as seconds, that of their folder's first window. `window` leaves
+    rows without a time out; they are put back."""
+    window = F.window(ts, width)
+    start, end = F.unix_seconds(F.col("_w.start")), F.unix_seconds(F.col("_w.end"))
+    span = (end - start) * per_folder
+    timed = batch.where(F.col(ts).isNotNull()).withColumn("_w", window)
+    timed = timed.withColumns({WINDOW: F.col("_w.start"), _AT: start - F.pmod(start, F.greatest(span, F.lit(1)))}).drop("_w")
+    untimed = batch.where(F.col(ts).isNull()).withColumns({WINDOW: F.lit(None).cast("timestamp"), _AT: F.lit(None).cast("long")})
+    return timed.unionByName(untimed)
 
 
 def landed_advantages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -187,6 +195,7 @@ def landed_advantages(spark: SparkSession, path: str, schema: T.StructType) -> D
     folders = [T.StructField(_AT, T.LongType()), T.StructField(_VERSION, T.LongType())]
     kind = T.StructType([*schema, T.StructField(WINDOW, T.TimestampType()), *made, *folders])
     rows = spark.read.schema(kind).parquet(f"{path}/advantages")
+    # Versions are folder names, two to a folder at most: nothing but these is read to find the latest.
     latest = rows.groupBy(F.col(_AT).alias("_w")).agg(F.max(_VERSION).alias("_v"))
     last = F.col(_AT).eqNullSafe(F.col("_w")) & (F.col(_VERSION) == F.col("_v"))
     return rows.join(latest, last, "left_semi").drop(_AT, _VERSION)
