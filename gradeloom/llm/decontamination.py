@@ -7,7 +7,8 @@ own length: one permutation of the hashes is cut into bins, four times as many a
 shingles at most, and each bin keeps its least hash. An item in the document then shares the least
 hash of a bin with probability of about 0.86 for each shared shingle, so a handful of shared shingles
 makes a candidate almost surely; for the shortest items more permutations are taken until the chance
-to miss one is below `MISS`. Candidates are verified by their shingles themselves.
+to miss one is below `MISS`. Candidates are verified by their shingles themselves. An item of fewer words
+than a shingle is looked up among the shingles of its own length.
 """
 
 from __future__ import annotations
@@ -38,9 +39,8 @@ def shingles(words: list[bytes], size: int) -> list[bytes]:
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
-    if len(hashes) == 0:
-        return hashes
-    return sequences(hashes, list(range(min(size, len(hashes)))))
+    """A hash for each shingle; texts of fewer words have none of this size."""
+    return sequences(hashes, list(range(size))) if len(hashes) >= size else hashes[:0]
 
 
 def repeats(shared: int) -> int:
@@ -64,11 +64,16 @@ class Items:
         hashes = Hashes()
         self.ids = [r[0] for r in rows]
         self.sets, self.hashes, self.need = [], [], []
-        for _, text in rows:
+        short: dict[int, list[tuple[int, int]]] = {}
+        for i, (_, text) in enumerate(rows):
             words = plain_words(text)
             self.sets.append(set(shingles(words, size)))
             self.hashes.append(np.unique(shingle_hashes(hashes.of(words), size)))
             self.need.append(max(1, math.ceil(threshold * len(self.sets[-1]) - 1e-9)))
+            if 0 < len(words) < size:
+                short.setdefault(len(words), []).append((int(shingle_hashes(hashes.of(words), len(words))[0]), i))
+        #: By number of words, the items shorter than a shingle: their hashes in order, and whose they are.
+        self.short = {n: tuple(np.array(x, dtype=t) for x, t in zip(zip(*sorted(found)), (np.uint64, np.int64))) for n, found in short.items()}
         self.repeats = max((repeats(n) for n, s in zip(self.need, self.sets) if s), default=0)
         self.tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
@@ -105,13 +110,21 @@ class Finder:
     def items(self, text: str | None) -> list[tuple[int, int]]:
         """Place in the block and number of shared shingles of each item that the text holds."""
         block, words = self.block, plain_words(text)
-        at, out = shingle_hashes(self.hashes.of(words), self.shingle), []
-        width = min(self.shingle, len(words))
+        hashes, out = self.hashes.of(words), []
+        at = shingle_hashes(hashes, self.shingle)
         for i in sorted(block.candidates(np.unique(at))):
             places = np.flatnonzero(np.isin(at, block.hashes[i]))
-            shared = {b" ".join(words[p : p + width]) for p in places} & block.sets[i]
+            shared = {b" ".join(words[p : p + self.shingle]) for p in places} & block.sets[i]
             if len(shared) >= block.need[i]:
                 out.append((i, len(shared)))
+        for n, (keys, owners) in block.short.items():
+            here = shingle_hashes(hashes, n)
+            found = np.searchsorted(keys, here, "left"), np.searchsorted(keys, here, "right")
+            held = set()
+            for p in np.flatnonzero(found[1] > found[0]):
+                own = b" ".join(words[p : p + n])
+                held.update(i for i in owners[found[0][p] : found[1][p]].tolist() if own in block.sets[i])
+            out += [(i, 1) for i in sorted(held)]
         return out
 
 
@@ -141,9 +154,10 @@ def contained_items(
     doc_id, item_id, n_shingles (of the item), n_shared, containment.
 
     Words are runs of ASCII letters and digits (in lower case) and other characters beyond ASCII.
-    Texts of fewer words than a shingle are one shingle; texts that are null or have no words match
-    nothing. Sets are taken, so repeated shingles count once; repeated rows are compared as often as
-    they come. The test items are the query set: they are compared in blocks of bounded size, each
+    An item of fewer words than a shingle is one shingle of its own length and is contained where its words
+    follow each other in a document; texts that are null or have no words match nothing, and a document shorter
+    than an item does not hold it. Sets are taken, so repeated shingles count once; repeated rows are compared as
+    often as they come; without items or documents there are no rows. What a document costs grows with its length. The test items are the query set: they are compared in blocks of bounded size, each
     against all documents, in one pass over the documents per block and without a shuffle.
     """
     kinds = documents.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
@@ -176,7 +190,8 @@ def clean_documents(
     """The rows of `documents` that hold no item, columns as they are.
 
     Every row is judged by its own text where it lies, so nothing is shuffled or joined and a doc_id may be
-    null or repeated. Rows without text or words hold nothing and stay.
+    null or repeated. Rows without text or words hold nothing and stay; without items all rows stay. Texts of any
+    length are searched whole.
     """
     context, kept = documents.sparkSession.sparkContext, documents
     for block in _blocks(items.select(item_id, text)):

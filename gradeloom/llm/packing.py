@@ -8,6 +8,7 @@ open sequence that has room in every dimension and the best score, or opens a ne
 from __future__ import annotations
 
 import base64
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,9 +27,21 @@ PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 @dataclass(frozen=True)
 class Capacity:
+    """What a sequence holds, and how much each capacity weighs when a sequence is chosen.
+
+    With the defaults a piece has up to 2048 tokens and tokens alone decide: 2048 pieces are 2048 tokens at
+    least, and pieces of 2048 tokens in all cost 2048 * 2048 at most. That keeps sequences fewest. Fewer documents, or
+    less attention, bind; pieces then have `piece` tokens at most."""
+
     tokens: int = 2048
     documents: int = 2048
     attention: int = 2048 * 2048
+    weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
+
+    @property
+    def piece(self) -> int:
+        """Tokens of the longest piece that a sequence can hold."""
+        return max(1, min(self.tokens, math.isqrt(self.attention)))
 
 
 @lru_cache(maxsize=4)
@@ -74,7 +87,8 @@ def token_pieces(
     `ranks_path` and `pattern` may name the same vocabulary as ranks, which is read about four
     times as fast; texts that hold a special token's string go to the tokenizer itself. Only longer
     documents are cut, into pieces of `size`, the first of which takes the remainder. A null or
-    empty text is the end id alone. Repeated rows are packed as often as they come. No shuffle.
+    empty text is the end id alone. Repeated rows are packed as often as they come; an empty table has no pieces.
+    No shuffle. Whatever is packed under a Capacity takes its `piece` as `size`.
     """
     kind = df.schema[doc_id].dataType.simpleString()
     schema = PIECES.format(kind=kind) + (", ids array<int>" if with_ids else "")
@@ -104,7 +118,7 @@ class Bins:
 
     def __init__(self, capacity: Capacity, score: str, least: int):
         self.full = np.array([capacity.tokens, capacity.documents, capacity.attention], dtype=np.float64)
-        self.score, self.least = score, least
+        self.score, self.least, self.weights = score, least, np.array(capacity.weights, dtype=np.float64)
         self.rest, self.ids, self.open, self.made = np.empty((64, 3)), np.empty(64, np.int64), 0, 0
 
     def _new(self) -> int:
@@ -126,7 +140,7 @@ class Bins:
             share, left = need / self.full, (rest[fits] - need) / self.full
             # Least norm of what is left, or least weighted product of need and what is left: both
             # take the tightest sequence, in the dimensions that this piece presses on.
-            points = (left * left).sum(axis=1) if self.score == "norm" else (left * share).sum(axis=1)
+            points = (left * left if self.score == "norm" else left * share) @ self.weights
             at = int(fits[np.argmin(points)])
         found, offset = int(self.ids[at]), int(self.full[0] - self.rest[at, 0])
         self.rest[at] -= need
@@ -152,7 +166,8 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), score: str = "dot",
     Pieces are dealt evenly over blocks of about `block` pieces, whatever their documents, and
     every block is packed by itself, so a task's memory is bounded and a block leaves a sequence or
     so that could be fuller. `score` is `dot` (weighted dot product) or `norm` (residual norm).
-    An empty table gives no sequence; ties are settled by the order of the rows in the block.
+    An empty table gives no sequence; ties are settled by the order of the rows in the block. A piece longer than
+    `capacity.piece` is refused. Columns named like the new ones are replaced.
     """
     if score not in ("dot", "norm"):
         raise ValueError(f"unknown score: {score!r}")

@@ -167,13 +167,12 @@ QUERIES = {
     "op13_interactions": op13_interactions,
 }
 
-_SHINGLES = """
-{name} AS (SELECT id, CASE WHEN len(w) = 0 THEN []
-    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)]) END AS s
-  FROM (SELECT {id} AS id, [x for x in string_split_regex(translate(coalesce(text, ''),
-      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')
-      if x <> ''] AS w FROM {table}))"""
+_WORDS = """
+{name}_words AS (SELECT {id} AS id, [x for x in string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') if x <> ''] AS w FROM {table})"""
+
+#: Shingles of k words, in texts of k words or more.
+_SHINGLED = "list_distinct([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)])"
 
 _KEY = """regexp_replace(regexp_replace(lower(regexp_extract(bare, '^[^/?]*', 0)), '^www[0-9]*[.]', ''), ':(80|443)$', '')
     || regexp_replace(regexp_extract(substr(bare, length(regexp_extract(bare, '^[^/?]*', 0)) + 1), '^[^?]*', 0), '/+$', '')
@@ -261,12 +260,12 @@ SELECT v.record_id, v.url_key, v.at, CASE WHEN r.html = v.html THEN r.record_id
     concat('date: ', v.page_id * 100), concat('etag: "', md5(v.html), '"'), 'x-served: full') END AS headers
 FROM v ASOF LEFT JOIN r ON v.url_key = r.url_key AND v.at > r.at""",
     "op8_decontamination": "WITH "
-    + _SHINGLES.format(name="items", id="item_id", table="benchmark")
+    + _WORDS.format(name="item", id="item_id", table="benchmark")
     + ","
-    + _SHINGLES.format(name="docs", id="doc_id", table="documents")
-    + """,
-i AS (SELECT id, len(s) AS n, unnest(s) AS s FROM items),
-d AS (SELECT id, unnest(s) AS s FROM docs)
+    + _WORDS.format(name="doc", id="doc_id", table="documents")
+    + f""",
+i AS (SELECT id, k, len(s) AS n, unnest(s) AS s FROM (SELECT id, k, {_SHINGLED} AS s FROM (SELECT *, least(5, len(w)) AS k FROM item_words) WHERE k > 0)),
+d AS (SELECT id, k, unnest({_SHINGLED}) AS s FROM doc_words, (SELECT DISTINCT k FROM i) WHERE len(w) >= k)
 SELECT d.id AS doc_id, i.id AS item_id, n AS n_shingles, count(*) AS n_shared, count(*) / n AS containment
-FROM d JOIN i USING (s) GROUP BY d.id, i.id, n HAVING count(*) >= ceil(0.8 * n - 1e-9)""",
+FROM d JOIN i USING (s, k) GROUP BY d.id, i.id, n HAVING count(*) >= ceil(0.8 * n - 1e-9)""",
 }

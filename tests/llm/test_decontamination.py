@@ -7,13 +7,15 @@ from gradeloom.llm.words import plain_words
 
 
 def brute(docs, items, size=5, threshold=0.8):
+    wants = [(i, words, set(D.shingles(words, size))) for i, words in ((i, plain_words(t)) for i, t in items)]
     out = set()
     for d, text in docs:
-        have = set(D.shingles(plain_words(text), size))
-        for i, t in items:
-            want = set(D.shingles(plain_words(t), size))
-            if want and len(want & have) / len(want) >= threshold:
-                out.add((d, i, len(want), len(want & have)))
+        words = plain_words(text)
+        held = {n: {b" ".join(words[p : p + n]) for p in range(len(words) - n + 1)} for n in range(1, size + 1)}
+        for i, item, want in wants:
+            shared = len(want & held[min(size, len(item))]) if want else 0
+            if want and shared / len(want) >= threshold:
+                out.add((d, i, len(want), shared))
     return out
 
 
@@ -48,3 +50,11 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(None, "a b c d e f")], "doc_id long, text string")
     assert D.clean_documents(one, t).count() == 1
     assert D.clean_documents(one, spark.createDataFrame([(None, "a b c d e f")], "item_id long, text string")).count() == 0
+
+
+def test_short_items_in_long_documents(spark):
+    d = spark.createDataFrame([(1, "the quick brown fox runs away from all the dogs"), (2, "quick brown fox"), (3, "Quick, brown"), (4, "fox runs")], "doc_id long, text string")
+    t = spark.createDataFrame([(1, "quick brown fox runs"), (2, "quick brown"), (3, "quick brown"), (4, "fox fox"), (5, "quick brown fox runs away")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.contained_items(d, t).collect()}
+    assert got == {(1, 1), (1, 2), (1, 3), (1, 5), (2, 2), (2, 3), (3, 2), (3, 3)}
+    assert [r["doc_id"] for r in D.clean_documents(d, t).collect()] == [4]

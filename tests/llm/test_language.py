@@ -1,5 +1,8 @@
+import base64
 import random
 
+import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from gradeloom.llm import language as L
@@ -49,5 +52,75 @@ def test_no_language_and_one_language(spark):
 
 def test_sample_is_bounded(spark):
     df = spark.range(5000).selectExpr("id doc_id", "concat('word', id, ' text') text", "'aa' lang")
-    data = L.fit(df, texts_per_language=50, dictionary_chars=500).dictionaries["aa"].decode()
-    assert 20 <= len(data.split("\n")) <= 100 and all(len(t) <= 10 for t in data.split("\n"))
+    data = L.fit(df, texts_per_language=50, dictionary_chars=L.PASSAGE * 50).dictionaries["aa"].decode()
+    assert 20 <= len(data.split("\n")) <= 100 and all(len(t) <= 13 for t in data.split("\n"))
+    with pytest.raises(ValueError, match="languages"):
+        L.fit(df.withColumn("lang", F.col("doc_id").cast("string")), languages=10)
+
+
+def test_passages_come_from_whole_texts(spark):
+    rows = [(i, "".join(f"{i:04d}{j:04d}" for j in range(400)), "aa") for i in range(40)]
+    data = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), dictionary_chars=L.PASSAGE * 60).dictionaries["aa"].decode()
+    passages = data.split("\n")
+    places = [int(p[4:8]) for p in passages]  # of a passage in its text, in steps of eight characters
+    assert all(len(p) == L.PASSAGE for p in passages) and len(set(places)) > 10 and max(places) > 200 and sum(places) / len(places) > 100
+
+
+def header_rows(n=400, header=""):
+    rnd = random.Random(3)
+    return [(i, header + text(lang, rnd.randint(5, 80), rnd), lang) for i, lang in enumerate(list(VOCABULARY) * n)]
+
+
+HEADER = "this work is under the licence of the foundation and can be used with all of its parts by those that have read it from the first line to the very last one\n"
+
+
+def test_lines_that_all_texts_share_do_not_count(spark):
+    rows = header_rows(header=HEADER)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(df.where("doc_id % 4 > 0"))
+    assert model.shared == {HEADER.strip()} and not any(HEADER[:40].encode() in d for d in model.dictionaries.values())
+    got = {r["doc_id"]: r for r in L.identify(df.where("doc_id % 4 = 0"), model).collect()}
+    right = [got[i]["lang_pred"] == lang and got[i]["accepted"] for i, _, lang in rows if i in got]
+    assert sum(right) >= 0.97 * len(right)
+    alone = L.identify(spark.createDataFrame([(1, HEADER)], "doc_id long, text string"), model).first()
+    assert alone["lang_pred"] in VOCABULARY
+
+
+def test_junk_of_any_length_is_rejected(spark):
+    rows, rnd = header_rows(), random.Random(4)
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert 0 < model.least < 0.2
+    junk = [(i, base64.b64encode(rnd.randbytes(n * 3 // 4)).decode()) for i, n in enumerate([50, 100, 300, 1000, 3000, 10_000, 30_000] * 5)]
+    got = L.identify(spark.createDataFrame(junk, "doc_id long, text string"), model).collect()
+    assert sum(not r["accepted"] for r in got) >= 33
+
+
+def plain_prediction(model, text):
+    """Language and margin with a compressor of its own for every block."""
+    if not text or not any(c.isalpha() for c in text):
+        return "und", 0.0
+    lines = [x for x in text.lower().split("\n") if x.strip(" ") not in model.shared]
+    body = "\n".join(lines)
+    data = f" {body if any(c.isalpha() for c in body) else text.lower()} ".encode()
+    sizes = {lang: 0 for lang in model.dictionaries}
+    for level in model.levels:
+        for lang, content in model.dictionaries.items():
+            for i in range(0, len(data), model.block):
+                how = zstandard.ZstdCompressor(
+                    level=level, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False
+                )
+                sizes[lang] += len(how.compress(data[i : i + model.block]))
+        ranked = sorted(sizes.values())
+        if ranked[0] < ranked[1]:
+            break
+    return min(sizes, key=sizes.get), (ranked[1] - ranked[0]) / ranked[1]
+
+
+def test_against_a_plain_encoder(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = L.fit(docs, dictionary_chars=16_384)
+    some = docs.where("length(text) < 6000").limit(40)
+    texts = {r["doc_id"]: r["text"] for r in some.collect()}
+    for r in L.identify(some, model).collect():
+        lang, margin = plain_prediction(model, texts[r["doc_id"]])
+        assert r["lang_pred"] == lang and abs(r["margin"] - margin) < 0.02

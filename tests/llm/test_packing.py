@@ -39,17 +39,79 @@ def test_pieces_and_round_trip(spark, docs, ranks):
     assert sum(map(len, sequences.values())) == sum(len(p[5]) for p in plain_pieces())
 
 
+CAPACITIES = [
+    Capacity(),
+    Capacity(documents=3),
+    Capacity(attention=1024 * 1024),
+    Capacity(documents=5, attention=900_000, weights=(1.0, 0.2, 3.0)),
+    Capacity(tokens=4096, documents=4, weights=(0.5, 1.0, 0.25)),
+]
+
+
+def plain_best_fit(lengths, cap, score):
+    """Sequences as lists of lengths, longest pieces first, each where least is left by the score."""
+    full, made = (cap.tokens, cap.documents, cap.attention), []
+    for n in sorted(lengths, reverse=True):
+        need, best = (n, 1, n * n), None
+        for bin_ in made:
+            rest = [f - u - x for f, u, x in zip(full, (sum(bin_), len(bin_), sum(m * m for m in bin_)), need)]
+            if min(rest) >= 0:
+                left = [r / f for r, f in zip(rest, full)]
+                points = sum(w * a * (a if score == "norm" else x / f) for w, a, x, f in zip(cap.weights, left, need, full))
+                if best is None or points < best[0] - 1e-12:
+                    best = (points, bin_)
+        if best is None:
+            made.append([n])
+        else:
+            best[1].append(n)
+    return made
+
+
 @pytest.mark.parametrize("score", ["dot", "norm"])
-def test_every_capacity_holds_and_few_sequences_are_made(score):
-    lengths = np.random.default_rng(1).integers(1, 2049, 3000)
-    for cap in (Capacity(), Capacity(documents=3), Capacity(attention=2048 * 1024 + 2048 * 1024)):
-        seq, off = best_fit(lengths, cap, score)
-        for s in np.unique(seq):
-            mine = np.flatnonzero(seq == s)
-            n, order = lengths[mine], np.argsort(off[mine])
-            assert n.sum() <= cap.tokens and len(n) <= cap.documents and (n**2).sum() <= cap.attention
-            assert (off[mine][order] == np.concatenate([[0], np.cumsum(n[order])[:-1]])).all()
-    assert len(np.unique(best_fit(lengths, Capacity(), score)[0])) <= 1.01 * lengths.sum() / 2048 + 1
+@pytest.mark.parametrize("cap", CAPACITIES)
+def test_every_capacity_holds_and_few_sequences_are_made(score, cap):
+    lengths = np.random.default_rng(1).integers(1, cap.piece + 1 if cap.documents > 10 else 500, 3000)
+    seq, off = best_fit(lengths, cap, score)
+    fullest = [0, 0, 0]
+    for s in np.unique(seq):
+        mine = np.flatnonzero(seq == s)
+        n, order = lengths[mine], np.argsort(off[mine])
+        assert n.sum() <= cap.tokens and len(n) <= cap.documents and (n**2).sum() <= cap.attention
+        assert (off[mine][order] == np.concatenate([[0], np.cumsum(n[order])[:-1]])).all()
+        fullest = [max(a, b) for a, b in zip(fullest, (n.sum() / cap.tokens, len(n) / cap.documents, (n**2).sum() / cap.attention))]
+    assert max(fullest) > 0.99
+    if cap.documents < 10 or cap.attention < cap.tokens**2:  # tokens alone would have taken fewer sequences
+        assert max(fullest[1:]) > 0.99 and len(np.unique(seq)) > 1.05 * len(np.unique(best_fit(lengths, Capacity(tokens=cap.tokens, attention=cap.tokens**2), score)[0]))
+    if cap == Capacity():
+        assert len(np.unique(seq)) <= 1.01 * lengths.sum() / 2048 + 1
+
+
+@pytest.mark.parametrize("score", ["dot", "norm"])
+@pytest.mark.parametrize("cap", CAPACITIES)
+def test_choices_are_those_of_plain_best_fit(score, cap):
+    lengths = np.random.default_rng(7).integers(1, cap.piece + 1, 250)
+    seq, _ = best_fit(lengths, cap, score)
+    got = sorted(sorted(lengths[seq == s].tolist()) for s in np.unique(seq))
+    assert got == sorted(sorted(b) for b in plain_best_fit(lengths.tolist(), cap, score))
+
+
+def test_weights_change_the_choice():
+    lengths = np.random.default_rng(3).integers(1, 1000, 2000)
+    seq = [best_fit(lengths, Capacity(documents=4, attention=1_500_000, weights=w), "dot")[0] for w in ((1, 1, 1), (0, 0, 1))]
+    assert (seq[0] != seq[1]).any()
+
+
+def test_piece_follows_from_the_capacities(spark, docs):
+    cap = Capacity(tokens=2048, attention=600 * 600)
+    assert cap.piece == 600
+    pieces = token_pieces(docs, path("byte_bpe_50k.json"), size=cap.piece)
+    made = pack(pieces, cap).collect()
+    sums = {}
+    for r in made:
+        sums.setdefault(r["sequence_id"], []).append(r["length"])
+    assert max(sum(n * n for n in ns) for ns in sums.values()) <= 600 * 600 and max(r["length"] for r in made) == 600
+    with pytest.raises(Exception, match="larger than a sequence"):
+        pack(token_pieces(docs, path("byte_bpe_50k.json")), cap).collect()
 
 
 def test_too_large_a_piece_and_empty_table(spark, docs):
