@@ -14,12 +14,11 @@ from gradeloom.llm import decontamination, language, packing, pii, simhash
 from gradeloom.llm.shared import keep
 from gradeloom.sources.readers import read_table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear stay. Languages are learnt from the `lang` of the rows that are
-    not held out; texts without a letter, null ones included, and texts whose encodings tie go."""
+    not held out; texts without a letter, null ones included, and texts whose margin is narrow go. Texts of any
+    length are judged whole, repeated rows alike, and an empty table stays empty."""
     learnt = docs.where(F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
     return language.accepted_rows(docs, language.fit(learnt))
 
@@ -27,7 +26,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked fingerprints stays: the one with the least doc_id.
 
-    A document without a doc_id counts as one with a large id of its own that its text gives. Rows that
+    Called with the shingle length and the distance of the operator itself; texts of any length are taken whole, texts
+    without words are alike, and an empty table stays empty. A document without a doc_id counts as one with a large id of its own that its text gives. Rows that
     share a doc_id and a text are copies, of which one stays; with different texts each is judged by its own.
     """
     own = F.lit(1 << 62).bitwiseOR(F.pmod(F.xxhash64("text"), F.lit(1 << 61)))
@@ -43,19 +43,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark stay."""
+    """Documents that hold no item of the benchmark stay, null and empty texts among them; each row is judged by its
+    own whole text, repeated ones alike. Without a benchmark all rows stay."""
     return decontamination.clean_documents(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind; n_chars follows the new text."""
+    """Personal data is replaced by its kind; n_chars follows the new text. Null and empty texts stay as they are,
+    texts of any length are searched whole, and a table without examples has the rules alone."""
     found = docs.withColumn("__found", pii.find(pii.fit(docs)))
     text = found.withColumn("text", pii.redacted("__found.spans")).drop("__found")
     return text.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 2048 tokens."""
+    """Token pieces and their places in sequences of 2048 tokens. A null or empty text is one token, a long one many
+    pieces; repeated rows are packed as often as they come, and an empty table has no sequences."""
     return packing.pack(
         packing.token_pieces(
             docs,
