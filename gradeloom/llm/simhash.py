@@ -5,8 +5,9 @@ patterns side by side. Neighbours form groups; a node holds the bits that its wh
 those that the nodes above it hold already. A search goes down from the top, adds up the differences
 to the shared bits and leaves a group when they exceed the distance.
 
-The upper nodes are Spark partitions of the order, the lower ones are built in the tasks. Two
-fingerprints within distance d differ in d // 2 bits at most in the upper or in the lower half, so the
+The upper nodes stand for groups of neighbours of bounded size, the lower ones are built in the tasks. As long as
+groups are few, all tasks hold their nodes; beyond that they hold those of partitions of the order, and whoever is
+let into a partition is passed on to its groups there. Two fingerprints within distance d differ in d // 2 bits at most in the upper or in the lower half, so the
 index is built twice, over the fingerprints and over their halves swapped, and each search stops at
 d // 2 differences in the upper half. That leaves few groups to look into.
 """
@@ -25,9 +26,9 @@ from gradeloom.llm.components import components
 from gradeloom.llm.shared import in_order, keep
 
 FANOUT = 8
-GROUPS = 4096  # upper nodes at most; all tasks hold them
-GROUP_SIZE = 4096  # fingerprints of a group, as long as there are not more groups than that
-VISITORS = 65_536  # searches that enter a group in one task
+GROUPS = 4096  # upper nodes at most that all tasks hold
+GROUP_SIZE = 4096  # fingerprints of a group at most
+VISITORS = 65_536  # searches that enter a group, or a partition of the order, in one task
 FRONTIER = 1 << 17  # pairs of searches and nodes that go down a level at once
 BLOCK = 65_536
 
@@ -169,35 +170,81 @@ def stars(members: np.ndarray, visitors: np.ndarray, distance: int) -> tuple[np.
     return everyone[moved], everyone[labels[moved]]
 
 
+def grouped(seen: DataFrame, n: int) -> DataFrame:
+    """v and g of the `n` patterns v: groups that follow the Gray order, GROUP_SIZE in each at most. A group's
+    number is that of its partition of the order, GROUPS of them at most, and in the lower half its place there."""
+    parts = min(GROUPS, max(1, -(-n // GROUP_SIZE)))
+    placed = in_order(seen, [gray_rank(F.col("v"))], parts).withColumn("at", F.monotonically_increasing_id())
+    within = F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / GROUP_SIZE).cast("long")
+    return keep(placed.select("v", F.shiftleft(F.shiftright("at", 33), 32).bitwiseOR(within).alias("g")))
+
+
+def _tree(nodes) -> tuple[np.ndarray, GrayTree]:
+    """The numbers of nodes, in order, and the tree over what the patterns of each have in common."""
+    ids, ones, any_ = (np.array(x, dtype=np.int64) for x in zip(*sorted(nodes)))
+    shared = ~(ones ^ any_).view(np.uint64)
+    return ids, GrayTree(shared, ones.view(np.uint64) & shared)
+
+
+def _shared_bits(of: DataFrame, by: str) -> DataFrame:
+    return of.groupBy(by).agg(F.expr("bit_and(a)").alias("a"), F.expr("bit_or(o)").alias("o"))
+
+
+def _in_rooms(inside: DataFrame, visitors: DataFrame, by: str) -> tuple[DataFrame, DataFrame]:
+    """Both with a column `room`: visitors of one `by` are dealt over rooms of about VISITORS, and what is inside is in each."""
+    rooms = visitors.groupBy(by).agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("rooms")).where("rooms > 1")
+    rooms = keep(rooms)
+    count = F.coalesce(F.col("rooms"), F.lit(1))
+    here = inside.join(rooms, by, "left").withColumn("room", F.explode(F.sequence(F.lit(0), count - 1))).drop("rooms")
+    there = visitors.join(rooms, by, "left").withColumn("room", F.pmod(F.xxhash64("v"), count).cast("int")).drop("rooms")
+    return here, there
+
+
+def visits(members: DataFrame, distance: int) -> DataFrame:
+    """g and v: the groups before its own in which a pattern v may have near ones, told by what all of a group share."""
+    nodes = keep(_shared_bits(members.select("g", F.col("v").alias("a"), F.col("v").alias("o")), "g"))
+    few = nodes.count() <= GROUPS
+    part = F.shiftright("g", 32)
+    tops = nodes if few else _shared_bits(nodes.withColumn("p", part), "p")
+    held = _tree([tuple(r) for r in tops.collect()])  # GROUPS rows at most
+
+    def enter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, tree = held
+        for batch in batches:
+            v, own = batch["v"].to_numpy().astype(np.int64), batch["g"].to_numpy().astype(np.int64)
+            for q, leaf in tree.search(v.view(np.uint64), distance, distance // 2):
+                # A pair of groups meets once, in the first of them; one partition may hold both.
+                other = ids[leaf] < own[q] if few else ids[leaf] <= own[q] >> 32
+                yield pd.DataFrame({"to": ids[leaf][other], "v": v[q][other], "own": own[q][other]})
+
+    entered = members.select("g", "v").mapInPandas(enter, "to long, v long, own long")
+    if few:
+        return entered.select(F.col("to").alias("g"), "v")
+    here, there = _in_rooms(nodes.withColumn("to", part), keep(entered), "to")
+
+    def pass_on(inside: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"g": np.empty(0, np.int64), "v": np.empty(0, np.int64)})]
+        if len(inside) and len(visitors):
+            ids, tree = _tree(zip(inside["g"], inside["a"], inside["o"]))
+            v, own = visitors["v"].to_numpy().astype(np.int64), visitors["own"].to_numpy()
+            for q, leaf in tree.search(v.view(np.uint64), distance, distance // 2):
+                other = ids[leaf] < own[q]
+                out.append(pd.DataFrame({"g": ids[leaf][other], "v": v[q][other]}))
+        return pd.concat(out)
+
+    return here.groupBy("to", "room").cogroup(there.groupBy("to", "room")).applyInPandas(pass_on, "g long, v long")
+
+
 def similar_edges(fps: DataFrame, distance: int = 3) -> DataFrame:
     """Edges (u, v) that connect the fingerprints (fp, all different) as the links of all pairs
     within `distance` do. At most one edge per fingerprint and task comes out, not all pairs."""
     n, out = fps.count(), None
-    parts = min(GROUPS, max(1, -(-n // GROUP_SIZE)))
+    if n == 0:
+        return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v"))
     for view in (lambda x: x, swapped):
-        seen = fps.select(view(F.col("fp")).alias("v"))
-        order = [gray_rank(F.col("v"))]
-        members = keep(in_order(seen, order, parts).withColumn("g", F.spark_partition_id()))
-        nodes = members.groupBy("g").agg(F.expr("bit_and(v)").alias("a"), F.expr("bit_or(v)").alias("o"))
-        nodes = sorted((r["g"], r["a"], r["o"]) for r in nodes.collect())  # the upper nodes
-        if not nodes:
-            return fps.select(F.col("fp").alias("u"), F.col("fp").alias("v"))
-        ids, ones, any_ = (np.array(x, dtype=np.int64) for x in zip(*nodes))
-
-        def route(batches: Iterator[pd.DataFrame], ids=ids, ones=ones, any_=any_) -> Iterator[pd.DataFrame]:
-            shared = ~(ones ^ any_).view(np.uint64)
-            tree = GrayTree(shared, ones.view(np.uint64) & shared)
-            for batch in batches:
-                v, own = batch["v"].to_numpy().astype(np.int64), batch["g"].to_numpy()
-                for q, leaf in tree.search(v.view(np.uint64), distance, distance // 2):
-                    other = ids[leaf] < own[q]  # a pair of groups meets once, in the first of them
-                    yield pd.DataFrame({"g": ids[leaf][other].astype(np.int32), "v": v[q][other]})
-
-        visitors = keep(members.select("g", "v").mapInPandas(route, "g int, v long"))
-        rooms = visitors.groupBy("g").agg(F.ceil(F.count("*") / VISITORS).cast("int").alias("rooms"))  # GROUPS rows at most
-        sized = members.select("g", "v").join(F.broadcast(rooms), "g", "left")
-        here = sized.select("g", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("rooms"), F.lit(1)) - 1)).alias("room"), "v", F.lit(True).alias("member"))
-        there = visitors.join(F.broadcast(rooms), "g").select("g", F.pmod(F.xxhash64("v"), F.col("rooms")).cast("int").alias("room"), "v", F.lit(False).alias("member"))
+        members = grouped(fps.select(view(F.col("fp")).alias("v")), n)
+        here, there = _in_rooms(members, keep(visits(members, distance)), "g")
+        here, there = here.select("g", "room", "v", F.lit(True).alias("member")), there.select("g", "room", "v", F.lit(False).alias("member"))
 
         def link(group: pd.DataFrame) -> pd.DataFrame:
             v, member = group["v"].to_numpy().astype(np.int64).view(np.uint64), group["member"].to_numpy(dtype=bool)
@@ -219,7 +266,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     fingerprints are connected by links of `distance` or fewer different bits.
 
     Texts that are null or have no words have fingerprint 0, which links like any other. Texts of
-    fewer words than a shingle are one shingle. Equal fingerprints are folded before they are compared.
+    fewer words than a shingle are one shingle; texts of any length are taken whole, in blocks of shingles. Equal
+    fingerprints are folded before they are compared. An empty table has no rows; other columns are not looked at.
     Repeated rows have one component; a null doc_id is nobody's component as long as there is another.
     """
     rows = keep(fingerprints(df, key, text, shingle, seed))

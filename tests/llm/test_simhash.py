@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
 from gradeloom.llm.components import components
+from gradeloom.llm import simhash as S
 from gradeloom.llm.simhash import GrayTree, fingerprint, near_duplicates, similar_edges, stars
 
 
@@ -107,3 +109,59 @@ def test_documents(spark):
     got = sorted(((r["doc_id"], r["component_id"]) for r in near_duplicates(df).collect()), key=str)
     assert got == sorted([(3, 1), (1, 1), (7, 2), (2, 2), (5, 5), (5, 5), (None, 1), (None, None)], key=str)
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def near_pairs(fps):
+    """All pairs within 3 bits: they agree in one of four quarters at least."""
+    pairs = set()
+    for shift in (0, 16, 32, 48):
+        buckets = {}
+        for f in fps:
+            buckets.setdefault(f >> shift & 0xFFFF, []).append(f)
+        for members in buckets.values():
+            for i, a in enumerate(members):
+                pairs.update((min(a, b), max(a, b)) for b in members[:i] if (a ^ b).bit_count() <= 3)
+    return pairs
+
+
+def many(n, seed=5):
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**64, n, dtype=np.uint64)
+    flips = sum(np.uint64(1) << rng.integers(0, 64, n // 10, dtype=np.uint64) for _ in range(3))
+    return np.unique(np.concatenate([base, base[: n // 10] ^ flips])).astype(np.int64)
+
+
+def test_groups_stay_small_and_few_rows_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_SIZE", 64)
+    fps = many(20_000)
+    df = spark.createDataFrame(pd.DataFrame({"v": fps}))
+    want = None
+    for most in (400, 20):  # all tasks hold all groups, or groups are told by way of 20 partitions
+        monkeypatch.setattr(S, "GROUPS", most)
+        members = S.grouped(df, len(fps))
+        sizes = members.groupBy("g").count().agg(F.max("count"), F.count("*")).first()
+        assert sizes[0] <= 64 and sizes[1] <= 2 * len(fps) / 64 + most
+        assert members.select(F.shiftright("g", 32)).distinct().count() <= most
+        sent = S.visits(members, 3).agg(F.count("*"), F.count_distinct("g", "v")).first()
+        assert sent[0] == sent[1] < 40 * len(fps)
+        assert want is None or abs(sent[0] - want) < 0.2 * want
+        want = sent[0]
+
+
+def test_two_steps_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_SIZE", 32)
+    monkeypatch.setattr(S, "GROUPS", 12)
+    monkeypatch.setattr(S, "VISITORS", 500)
+    fps = sorted({*many(2_000).tolist(), *(signed(f) for f in sample())})
+    got = {f: f for f in fps} | {r["node"]: r["component"] for r in components(similar_edges(spark.createDataFrame([(f,) for f in fps], "fp long"))).collect()}
+    low = {f: f for f in fps}
+
+    def root(x):
+        while low[x] != x:
+            low[x] = x = low[low[x]]
+        return x
+
+    for a, b in near_pairs([f % 2**64 for f in fps]):
+        a, b = root(signed(a)), root(signed(b))
+        low[max(a, b)] = min(a, b)
+    assert partition(got) == partition({f: root(f) for f in fps})
