@@ -2,10 +2,12 @@
 
 Every vector holds a short list of its nearest neighbours so far. Lists start from random projection
 trees and are refined: vectors that have a neighbour in common are compared, and whoever is nearer
-than the worst of a list goes into it. Lists and comparisons take vectors in bytes; the links are
-then checked in double precision. A list that is full of links may hide more of them: where that is so,
-the list is enlarged to all of the vector's component and to the full lists of the label's other
-components, compared in blocks; components that turn out to link become one.
+than the worst of a list goes into it. Lists and comparisons take vectors of length 1 in single precision; the links
+are then checked in double precision. A list that is full of links may hide more of them: where that is so, the
+list is enlarged to all of the vector's component and to the full lists of the label's other components. That goes by
+blocks of vectors that lie together: two blocks whose balls are too far apart, or so near that all their vectors
+link, are settled by their centres, and only the others are compared vector by vector. Components that turn out to
+link become one.
 """
 
 from __future__ import annotations
@@ -31,9 +33,9 @@ class Descent:
     neighbours: int = 10
     trees: int = 5
     leaf: int = 64  # vectors compared with each other at once
-    rounds: int = 4
+    rounds: int = 12  # at most; an audit tells what is missing then
     changed: float = 0.001  # share of list entries whose change still calls for a round
-    slack: float = 0.02  # of cosine, for what bytes lose
+    slack: float = 1e-4  # of cosine, for what single precision loses
     seed: int = 42
 
 
@@ -59,9 +61,9 @@ def _matrix(column: pd.Series, kind: str) -> np.ndarray:
 
 
 def _cosines(block: pd.DataFrame) -> np.ndarray:
-    """Cosines of the byte vectors with each other, -2 of a vector with itself."""
-    q = _matrix(block["q8"], np.int8).astype(np.float32)
-    sims = (q @ q.T) / np.outer(n := np.linalg.norm(q, axis=1).clip(1), n)
+    """Cosines of the vectors with each other, -2 of a vector with itself."""
+    unit = _matrix(block["unit"], np.float32)
+    sims = unit @ unit.T
     rid = block["rid"].to_numpy()
     sims[rid[:, None] == rid[None, :]] = -2
     return sims
@@ -97,13 +99,13 @@ def prepared(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
     return rows.withColumn("dim", F.octet_length("raw") / 8)
 
 
-def _bytes(nodes: DataFrame) -> DataFrame:
+def _units(nodes: DataFrame) -> DataFrame:
     @F.pandas_udf("binary")
-    def quantised(raw: pd.Series) -> pd.Series:
+    def unit(raw: pd.Series) -> pd.Series:
         vectors = (np.frombuffer(r) for r in raw)
-        return pd.Series([np.rint(v / np.abs(v).max() * 127).astype(np.int8).tobytes() for v in vectors], dtype=object)
+        return pd.Series([(v / np.sqrt(np.dot(v, v))).astype(np.float32).tobytes() for v in vectors], dtype=object)
 
-    return nodes.select("rid", *SPACE, quantised(F.col("raw")).alias("q8"))
+    return nodes.select("rid", *SPACE, unit(F.col("raw")).alias("unit"))
 
 
 def _merged(lists: DataFrame, k: int) -> DataFrame:
@@ -113,18 +115,20 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
     return some.groupBy("rid").agg(best().alias("pairs"))
 
 
-def _side(seed: int, tree: int):
-    """The sides of 48 random planes that a vector is on, as bits."""
+def _sides(vectors: Iterator[np.ndarray], seed: int, tree: int) -> pd.Series:
+    """The sides of 48 random planes that each vector is on, as bits."""
+    planes, codes = {}, []
+    for x in vectors:
+        if len(x) not in planes:
+            planes[len(x)] = np.random.default_rng([seed, tree, len(x)]).normal(size=(48, len(x)))
+        codes.append(int("".join("1" if p > 0 else "0" for p in planes[len(x)] @ x), 2))
+    return pd.Series(codes, dtype="int64")
+
 
+def _side(seed: int, tree: int):
     @F.pandas_udf("long")
-    def side(q8: pd.Series) -> pd.Series:
-        planes, codes = {}, []
-        for v in q8:
-            x = np.frombuffer(v, dtype=np.int8).astype(np.float64)
-            if len(x) not in planes:
-                planes[len(x)] = np.random.default_rng([seed, tree, len(x)]).normal(size=(48, len(x)))
-            codes.append(int("".join("1" if p > 0 else "0" for p in planes[len(x)] @ x), 2))
-        return pd.Series(codes, dtype="int64")
+    def side(unit: pd.Series) -> pd.Series:
+        return _sides((np.frombuffer(v, dtype=np.float32).astype(np.float64) for v in unit), seed, tree)
 
     return side
 
@@ -138,33 +142,34 @@ def _first_lists(small: DataFrame, s: Descent) -> DataFrame:
 
     out = None
     for tree in range(s.trees):
-        coded = keep(small.withColumn("code", _side(s.seed, tree)("q8")))
+        coded = keep(small.withColumn("code", _side(s.seed, tree)("unit")))
         lists = in_order(coded, [*SPACE, "code", "rid"]).mapInPandas(leaves, PAIRS)
         out = lists if out is None else out.union(lists)
     return keep(_merged(out, s.neighbours))
 
 
-def _refined(small: DataFrame, lists: DataFrame, s: Descent) -> DataFrame:
-    """Better neighbours for the lists: vectors that meet at a common neighbour, on either side of it."""
+def _refined(small: DataFrame, lists: DataFrame, s: Descent, turn: int) -> DataFrame:
+    """Better neighbours for the lists: vectors that meet at a common neighbour, on either side of it. Where many
+    do, they are dealt into blocks, and into others in each turn."""
     edges = lists.select("rid", F.explode("pairs.nbr").alias("nbr"))
     met = edges.select(F.col("nbr").alias("center"), "rid").union(edges.select(F.col("rid").alias("center"), F.col("nbr").alias("rid")))
     full = F.when(F.size("pairs") >= s.neighbours, F.element_at("pairs", -1)["sim"]).otherwise(F.lit(-1.5))
-    info = keep(small.join(lists.select("rid", full.cast("float").alias("worst")), "rid", "left").select("rid", "q8", F.coalesce("worst", F.lit(-1.5).cast("float")).alias("worst")))
+    info = keep(small.join(lists.select("rid", full.cast("float").alias("worst")), "rid", "left").select("rid", "unit", F.coalesce("worst", F.lit(-1.5).cast("float")).alias("worst")))
     members = keep(met.distinct()).join(info, "rid")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in runs(batches, ["center"], s.leaf):
             yield _best(block, s.neighbours, block["worst"].to_numpy())
 
-    return keep(in_order(members, ["center", F.xxhash64("rid")]).mapInPandas(compare, PAIRS))
+    return keep(in_order(members, ["center", F.xxhash64("rid", F.lit(turn))]).mapInPandas(compare, PAIRS))
 
 
 def neighbour_lists(nodes: DataFrame, s: Descent) -> DataFrame:
-    """rid and pairs (similarity of the bytes, neighbour; best first) of nodes rid, label, dim, raw."""
-    small = keep(_bytes(nodes))
+    """rid and pairs (similarity, neighbour; best first) of nodes rid, label, dim, raw."""
+    small = keep(_units(nodes))
     lists, n = _first_lists(small, s), small.count()
-    for _ in range(s.rounds):
-        better = _refined(small, lists, s)
+    for turn in range(s.rounds):
+        better = _refined(small, lists, s, turn)
         merged = keep(_merged(lists.union(better), s.neighbours))
         old = lists.select("rid", F.explode("pairs.nbr").alias("nbr"))
         new = merged.select("rid", F.explode("pairs.nbr").alias("nbr")).join(old, ["rid", "nbr"], "left_anti").count()
@@ -190,17 +195,79 @@ def _linked(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return keep(found.where(F.col("cos") >= threshold).select("u", "v"))
 
 
-def _dealt(sets: DataFrame, nodes: DataFrame, order: list[str]) -> DataFrame:
-    """The nodes of sets (rid, set and the columns of `order`) in blocks i and j of a set: a block b
-    comes with every other block of its set, never with the whole set."""
-    placed, _ = numbered(sets, ["set", *order], "place")
+def _blocks(sets: DataFrame, nodes: DataFrame, order: list[str], own: str) -> tuple[DataFrame, DataFrame]:
+    """The nodes of sets (rid, set and the columns of `order`) in blocks b of a set, and these blocks: the centre
+    and the radius of a ball that holds the block, the copies in it, and its least and largest `own`."""
+    @F.pandas_udf("long")
+    def code(raw: pd.Series) -> pd.Series:
+        return _sides(map(np.frombuffer, raw), 0, 0)  # so that vectors that lie together come together
+
+    near = nodes.select("rid", "raw", "copies").withColumn("code", code("raw"))
+    placed, _ = numbered(sets.join(near.select("rid", "code"), "rid"), ["set", *order[:-1], "code", order[-1]], "place")
     placed = keep(placed)
-    first = keep(placed.groupBy("set").agg(F.min("place").alias("first"), F.count("*").alias("size")))
+    first = keep(placed.groupBy("set").agg(F.min("place").alias("first")))
     block = ((F.col("place") - F.col("first")) / BLOCK).cast("int")
-    of = placed.join(first, "set").select("set", *order, block.alias("b"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    of = keep(of).join(nodes.select("rid", "raw", "copies"), "rid")
-    dealt = of.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select("set", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "b", *order, "raw", "copies")
+    of = placed.join(first, "set").select("set", *order, block.alias("b"))
+    members = keep(of.join(near.drop("code"), "rid").withColumn("own", F.col(own)))
+
+    def ball(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        x = _unit_matrix(group["raw"])
+        centre = x.mean(axis=0)
+        centre = centre / length if (length := np.linalg.norm(centre)) > 1e-9 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pd.DataFrame([(*key, centre.tobytes(), radius, group["copies"].sum(), group["own"].min(), group["own"].max())])
+
+    made = "set long, b int, centre binary, radius double, weight long, low long, high long"
+    return members, keep(members.groupBy("set", "b").applyInPandas(ball, made))
+
+
+def _unit_matrix(column: pd.Series) -> np.ndarray:
+    x = _matrix(column, np.float64)
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+ALL, NONE, SOME = 1, 0, 2
+
+
+def _meetings(blocks: DataFrame, threshold: float, across: bool) -> DataFrame:
+    """Pairs (i, j) of blocks of a set, i <= j, and `kind`: all of their vectors link, or some may. Pairs that are
+    too far apart are left out; with `across` so are those of one `own`, and pairs of mixed blocks
+    are never settled as a whole."""
+    widest = float(np.arccos(threshold))
+
+    @F.pandas_udf("int")
+    def kind(a: pd.Series, z: pd.Series, near: pd.Series) -> pd.Series:
+        angles = np.array([np.arccos(np.clip(np.dot(np.frombuffer(x), np.frombuffer(y)), -1, 1)) for x, y in zip(a, z)])
+        far = angles - near > widest + 1e-6
+        inside = angles + near <= widest - 1e-6
+        return pd.Series(np.where(far, NONE, np.where(inside, ALL, SOME)), dtype="int32")
+
+    side = lambda n: blocks.select("set", F.col("b").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("centre", "radius", "weight", "low", "high")])
+    both = side("i").join(side("j"), "set").where("i <= j")  # one row for BLOCK * BLOCK pairs of vectors
+    one = (F.col("low_i") == F.col("high_i")) & (F.col("low_j") == F.col("high_j"))
+    if across:
+        both = both.where(~(one & (F.col("low_i") == F.col("low_j"))))
+    met = both.withColumn("kind", kind("centre_i", "centre_j", F.col("radius_i") + F.col("radius_j"))).where(F.col("kind") != NONE)
+    if across:
+        met = met.withColumn("kind", F.when(one, F.col("kind")).otherwise(SOME))
+    return keep(met.select("set", "i", "j", "kind", "weight_i", "weight_j", "low_i", "low_j"))
+
+
+def _to_compare(members: DataFrame, met: DataFrame) -> DataFrame:
+    """The members of both blocks of the pairs that have to be compared."""
+    some = met.where(F.col("kind") == SOME).select("set", "i", "j")
+    left = members.join(some.withColumn("b", F.col("i")), ["set", "b"])
+    right = members.join(some.where("i < j").withColumn("b", F.col("j")), ["set", "b"])
+    return left.unionByName(right).groupBy("set", "i", "j")
+
+
+def _settled(members: DataFrame, met: DataFrame) -> DataFrame:
+    """rid and how many vectors it links with in blocks that are settled as a whole, itself not counted."""
+    whole = met.where(F.col("kind") == ALL)
+    sides = whole.select("set", F.col("i").alias("b"), F.col("weight_j").alias("w"), (F.col("i") == F.col("j")).alias("itself"))
+    sides = sides.union(whole.where("i < j").select("set", "j", "weight_i", F.lit(False)))
+    sums = sides.groupBy("set", "b").agg(F.sum("w").alias("w"), F.max("itself").alias("itself"))
+    return members.join(sums, ["set", "b"]).select("rid", (F.col("w") - F.when(F.col("itself"), F.col("copies")).otherwise(0)).alias("n"))
 
 
 def _near(group: pd.DataFrame, threshold: float) -> np.ndarray:
@@ -215,39 +282,44 @@ def _near(group: pd.DataFrame, threshold: float) -> np.ndarray:
 
 
 def _enlarged(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """rid and n_linked within its set, for nodes (rid, set) of sets with full lists: all pairs of a
-    set, block by block."""
+    """rid and n_linked within its set, for nodes (rid, set) of sets with full lists, block by block."""
+    members, blocks = _blocks(sets, nodes, ["rid"], "set")
+    met = _meetings(blocks, threshold, False)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"rid": group["rid"], "n_linked": _near(group, threshold) @ group["copies"].to_numpy()})
+        return pd.DataFrame({"rid": group["rid"], "n": _near(group, threshold) @ group["copies"].to_numpy()})
 
-    met = _dealt(sets, nodes, ["rid"]).groupBy("set", "i", "j").applyInPandas(compare, "rid long, n_linked long")
-    return met.groupBy("rid").agg(F.sum("n_linked").alias("n_linked"))
+    compared = _to_compare(members, met).applyInPandas(compare, "rid long, n long")
+    return compared.union(_settled(members, met)).groupBy("rid").agg(F.sum("n").alias("n_linked"))
 
 
 def _across(full: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Links between different sets, for nodes (rid, set) with full lists: rid and n_across (links to
     other sets), and the pairs (u, v) of sets that link.
 
-    A pair that is in neither list has both lists full, so all pairs of full lists of a label are
-    compared, block by block. Labels whose full lists are of one set have no such pair."""
+    A pair that is in neither list has both lists full, so blocks of full lists of a label are
+    held against each other. Labels whose full lists are of one set have no such pair."""
     spaced = keep(full.join(nodes.select("rid", *SPACE), "rid"))
     spaces = spaced.groupBy(*SPACE).agg(F.min("rid").alias("space"), F.min("set").alias("a"), F.max("set").alias("z"))
-    sets = spaced.join(spaces.where("a < z"), SPACE).select(F.col("space").alias("set"), F.col("set").alias("own"), "rid")
+    sets = spaced.join(spaces.where("a < z"), SPACE).select(F.col("space").alias("set"), F.col("set").alias("own_set"), "rid")
+    members, blocks = _blocks(sets, nodes, ["own_set", "rid"], "own_set")
+    met = _meetings(blocks, threshold, True)
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         own, code = np.unique(group["own"].to_numpy(), return_inverse=True)
         near = _near(group, threshold) & (code[:, None] != code[None, :])
         linked, at = near @ group["copies"].to_numpy(), np.argwhere(np.triu(near))
-        met = np.unique(np.sort(code[at], axis=1), axis=0)
+        pairs = np.unique(np.sort(code[at], axis=1), axis=0)
         some = linked > 0
         counts = pd.DataFrame({"u": group["rid"].to_numpy()[some], "v": linked[some], "of_sets": False})
-        return pd.concat([counts, pd.DataFrame({"u": own[met[:, 0]], "v": own[met[:, 1]], "of_sets": True})])
+        return pd.concat([counts, pd.DataFrame({"u": own[pairs[:, 0]], "v": own[pairs[:, 1]], "of_sets": True})])
 
-    met = _dealt(sets, nodes, ["own", "rid"]).groupBy("set", "i", "j").applyInPandas(compare, "u long, v long, of_sets boolean")
-    met = keep(met)
-    counts = met.where("not of_sets").groupBy(F.col("u").alias("rid")).agg(F.sum("v").alias("n_across"))
-    return counts, met.where("of_sets").select("u", "v")
+    compared = keep(_to_compare(members, met).applyInPandas(compare, "u long, v long, of_sets boolean"))
+    counts = compared.where("not of_sets").select(F.col("u").alias("rid"), F.col("v").alias("n")).union(_settled(members, met))
+    ends = F.col("low_i"), F.col("low_j")
+    bridges = met.where(F.col("kind") == ALL).select(F.least(*ends).alias("u"), F.greatest(*ends).alias("v"))
+    bridges = compared.where("of_sets").select("u", "v").union(bridges).distinct()
+    return counts.groupBy("rid").agg(F.sum("n").alias("n_across")), bridges
 
 
 def near_links(
@@ -262,8 +334,11 @@ def near_links(
 
     Rows link if their labels are equal and not null, their dimensions are equal, and their cosine is
     `threshold` or more. A vector that is null, empty, zero or holds null or non-finite components
-    links with nothing. Equal vectors of a label are folded first and count as linked. No pair below
-    the threshold is linked; how many above it are found is measured by `audit`.
+    links with nothing. Equal vectors of a label are folded first and count as linked, so repeated rows link with
+    each other; rows that share a vec_id are rows of their own, and a null vec_id is nobody's component as long as
+    there is another. Neighbours that are equally near are told apart by a number of the vector's own; ties decide
+    about lists, not about links. No pair below the threshold is linked; how many above it are found is
+    measured by `audit`. An empty table has no rows. Columns other than the three are not looked at.
     """
     rows = keep(prepared(df, key, vector, label))
     valid = rows.where(F.col("raw").isNotNull())

@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from gradeloom.llm import embeddings as E
 from gradeloom.llm.embeddings import Descent, audit, near_links
 
 SCHEMA = "vec_id long, embedding array<double>, label int, n_links string"
@@ -78,3 +79,55 @@ def test_empty_table(spark):
     alone = spark.createDataFrame([(None, [1.0, 2.0], 1, ""), (4, None, 1, "")], SCHEMA)
     got = near_links(alone).orderBy(F.col("vec_id").asc_nulls_first()).collect()
     assert [tuple(r) for r in got] == [(None, 0, None), (4, 0, 4)]
+
+
+def test_long_vectors_with_an_outlier_component(spark):
+    """One component holds nearly all of the length; what the others add still counts."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for i in range(60):
+        v = rng.choice([-1.0, 1.0], size=2048) * 0.0041
+        v[i % 3] = 1.0
+        rows.append((i, v.tolist(), 1, "x"))
+    want = brute(rows)
+    assert want[0][0] >= 1
+    got = near_links(spark.createDataFrame(rows, SCHEMA))
+    assert found(got) == want
+    asked = audit(spark.createDataFrame(rows, SCHEMA), got, every=5).collect()
+    assert sum(r["n_links"] for r in asked) >= 0.999 * sum(r["n_true"] for r in asked) > 0
+
+
+def compared_pairs(spark, monkeypatch, clumps, wide):
+    """Pairs of vectors that are compared one by one, for a label with so many clumps of 64."""
+    monkeypatch.setattr(E, "BLOCK", 16)
+    rng = np.random.default_rng(9)
+    rows = []
+    for c in range(clumps):
+        center = rng.normal(size=32)
+        rows += [(64 * c + i, 64 * c, (center + rng.normal(size=32) * wide).tobytes()) for i in range(64)]
+    table = spark.createDataFrame([(i, s, 1, 32.0, v, 1) for i, s, v in rows], "rid long, set long, label int, dim double, raw binary, copies long")
+    sets = table.select(F.lit(0).cast("long").alias("set"), F.col("set").alias("own_set"), "rid")
+    members, blocks = E._blocks(sets, table.drop("set"), ["own_set", "rid"], "own_set")
+    across = E._meetings(blocks, 0.93, True).where(F.col("kind") == E.SOME).count()
+    within = E._blocks(table.select("set", "rid"), table.drop("set"), ["rid"], "set")[1]
+    return 256 * across, 256 * E._meetings(within, 0.93, False).where(F.col("kind") == E.SOME).count()
+
+
+def test_work_on_a_label_is_not_quadratic(spark, monkeypatch):
+    """Clumps lie apart, and a tight clump needs no comparison at all to know its links."""
+    few, many = (compared_pairs(spark, monkeypatch, n, 0.01) for n in (8, 32))
+    assert many[0] <= 4.5 * max(few[0], 256 * 2) and many[1] == few[1] == 0
+    loose = compared_pairs(spark, monkeypatch, 8, 0.15)
+    assert 0 < loose[1] <= 8 * 64 * 64
+
+
+def test_blocks_settled_as_a_whole_count_the_same(spark, monkeypatch):
+    monkeypatch.setattr(E, "BLOCK", 8)
+    rng = np.random.default_rng(10)
+    a, b = np.linalg.qr(rng.normal(size=(24, 2)))[0].T
+    rows = []
+    for i in range(160):  # two tight clumps that link with each other, one further away, and copies
+        center = (a, 0.96 * a + np.sqrt(1 - 0.96**2) * b, b)[i % 3]
+        rows.append((i, (center + rng.normal(size=24) * 0.003).tolist(), 1, "x"))
+    rows += [(160 + i, rows[i][1], 1, "x") for i in range(7)]
+    assert found(near_links(spark.createDataFrame(rows, SCHEMA))) == brute(rows)
