@@ -106,6 +106,7 @@ def fit(
     languages: int = 256,
     share: float = 0.02,
     clear: float = 0.99,
+    narrow: float = 0.125,
     **how,
 ) -> Compression:
     """Dictionaries and the least margin from two bounded samples of labelled rows.
@@ -113,8 +114,8 @@ def fit(
     Of each language about `texts_per_language` texts are taken, those whose keys have the least hashes. They
     share `dictionary_chars` evenly, and a text's share are passages of PASSAGE characters from all over it,
     those with the least hashes of key and place. Lines that more than a `share` of the sampled texts have are left
-    out. Another `held_per_language` texts, of keys that dictionaries never take, are judged: half the margin that `clear` of the
-    right ones exceed is the least margin of the model.
+    out. Another `held_per_language` texts, of keys that dictionaries never take, are judged: `narrow` of the margin that `clear` of
+    the right ones exceed is the least margin of the model, so that few texts of a learnt language are below it.
 
     Only language counts, these passages and shared lines reach the driver; more than `languages` languages are
     refused, as every task holds all dictionaries. Rows whose text or language is null or empty are left out;
@@ -161,8 +162,8 @@ def fit(
     model = replace(model, dictionaries=joined)
     # The margins of texts that dictionaries do not hold.
     judged = identify(sampled.where("held"), model, key="l", text="t").where(F.col("doc_id") == F.col("lang_pred"))
-    narrow = judged.agg(F.expr(f"percentile(margin, {1 - clear!r}D)").alias("m")).first()["m"]
-    return replace(model, least=(narrow or 0.0) / 2 if len(joined) > 1 else 0.0)
+    usual = judged.agg(F.expr(f"percentile(margin, {1 - clear!r}D)").alias("m")).first()["m"]
+    return replace(model, least=narrow * (usual or 0.0) if len(joined) > 1 else 0.0)
 
 
 def identify(df: DataFrame, model: Compression, key: str = "doc_id", text: str = "text") -> DataFrame:
