@@ -75,6 +75,11 @@ def metric_overlay(
     return joined.groupBy("method", "metric", "step").pivot("framework", columns).agg(F.avg("value"))
 
 
+def percentile_name(p: float) -> str:
+    """`p50` for 0.5, `p99_9` for 0.999."""
+    return "p" + f"{round(p * 100, 9):.12g}".replace(".", "_")
+
+
 def metric_percentiles(
     metrics: DataFrame,
     runs: DataFrame,
@@ -118,9 +123,9 @@ def metric_percentiles(
     up_to = W.partitionBy(*group, "i").orderBy("value")
     reached = met.withColumn("up_to", F.col("before") + F.sum("c").over(up_to)).where(F.col("up_to") >= F.col("place"))
     found = reached.groupBy(*group, "n").agg(
-        *[F.min(F.when(F.col("i") == i, F.col("value"))).alias(f"p{round(p * 100)}") for i, p in enumerate(points)]
+        *[F.min(F.when(F.col("i") == i, F.col("value"))).alias(percentile_name(p)) for i, p in enumerate(points)]
     )
-    return found.select(*group, "n", *[f"p{round(p * 100)}" for p in points])
+    return found.select(*group, "n", *[percentile_name(p) for p in points])
 
 
 def control_audit(

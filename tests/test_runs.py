@@ -115,3 +115,9 @@ def test_what_is_not_listed_is_other(spark):
     assert (over["sft"]["other"], over["mine"]["trl"], over["mine"]["other"]) == (2.0, 4.0, None)
     cover = {r["framework"]: r for r in O.coverage_matrix(runs).collect()}
     assert (cover["trl"]["other"], cover["own"]["sft"], cover["own"]["other"]) == ("lora", "full", "none")
+
+
+def test_percentile_names_differ():
+    from gradeloom.operators.runs import percentile_name
+
+    assert [percentile_name(p) for p in (0.5, 0.95, 0.99, 0.995, 0.999, 0.9999, 1.0)] == ["p50", "p95", "p99", "p99_5", "p99_9", "p99_99", "p100"]
