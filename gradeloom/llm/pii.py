@@ -5,7 +5,7 @@ executors. The rules give the base spans. Generators with far looser patterns pr
 overlap: spelt-out and spaced-out forms, and also prose, version numbers and other digits that only look like
 them. A candidate that a rule agrees with teaches its kind, one that belongs to another kind or is not sound
 teaches the contrary, and the trees decide about the rest by format and surroundings: gradient-boosted trees for
-each kind, fitted on a bounded sample, with a threshold per kind set on the half that was not learnt from.
+each kind, fitted on the candidates of half of all rows, with a threshold per kind set on those of the other half.
 """
 
 from __future__ import annotations
@@ -242,17 +242,13 @@ def redacted(spans: str, text: str = "text") -> Column:
     return F.expr(f"if(size({spans}) = 0, `{text}`, {_let(_whole(text), 't', _let(chunks, 'chunks', whole))})")
 
 
-def examples(df: DataFrame, key: str, text: str, documents: int) -> DataFrame:
-    """Labelled candidates of about `documents` rows, those whose keys have the least hashes, folded to
-    their features: FEATURES, and positive and negative counts to learn from (pos, neg) and to calibrate by
-    (held_pos, held_neg). Rows without a key are not taken."""
-    n = df.where(F.col(key).isNotNull()).count()
-    h = F.xxhash64(key)
-    some = df.where(F.col(key).isNotNull())
-    if n > documents:
-        some = some.where(h < int(-(2**63) + 2**64 * documents / n))
+def examples(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Labelled candidates of all rows, folded to their features: FEATURES, and positive and negative counts to
+    learn from (pos, neg) and to calibrate by (held_pos, held_neg). The hash of its key tells a row's half, and that of
+    its text where it has no key. Features have few values each, so the result does not grow with the rows."""
+    h = F.when(F.col(key).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(key))
     all_ = _let(_whole(text), "t", _let(_base("t"), "base", _candidates("t", "base")))
-    rows = some.select(F.pmod(h, F.lit(2)).alias("fold"), F.explode(F.expr(all_)).alias("c"))
+    rows = df.select(F.pmod(h, F.lit(2)).alias("fold"), F.explode(F.expr(all_)).alias("c"))
     rows = rows.withColumn("label", F.expr(_LABEL.format("c."))).where(F.col("label").isNotNull())
     count = lambda label, fold: F.sum(((F.col("label") == label) & (F.col("fold") == fold)).cast("long"))
     return keep(
@@ -273,7 +269,8 @@ def _best_split(sums: list, smooth: float) -> tuple[float, str, int, float, floa
         for value, dg, dh in values:
             g, h = g + dg, h + dh
             gain = g * g / (h + smooth) + (g_all - g) ** 2 / (h_all - h + smooth) - g_all**2 / (h_all + smooth)
-            if best is None or gain > best[0] + 1e-12:
+            # Sums over many rows differ in their last digits from run to run; that must not settle a tie.
+            if best is None or gain > best[0] + 1e-12 + 1e-9 * abs(best[0]):
                 best = (gain, name, value, leaf(g, h), leaf(g_all - g, h_all - h))
     return best
 
@@ -282,7 +279,6 @@ def fit(
     df: DataFrame,
     key: str = "doc_id",
     text: str = "text",
-    documents: int = 10_000,
     rounds: int = 12,
     rate: float = 0.3,
     smooth: float = 1.0,
@@ -295,7 +291,7 @@ def fit(
     examples have `precision`, one false alarm more than there was being counted; a kind whose examples are
     too few to show that has no threshold.
     """
-    table = examples(df, key, text, documents)
+    table = examples(df, key, text)
     cells = ", ".join(f"'{f}', {f}" for f in FEATURES[1:])
     trees: dict[int, list[str]] = {k: [] for k in range(len(KINDS))}
 

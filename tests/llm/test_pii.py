@@ -123,6 +123,17 @@ def test_fit_on_nothing_adds_nothing(spark):
         assert [len(r["f"]["spans"]) for r in rows.select(pii.find(model).alias("f")).collect()] == [len(plain_base(r["text"])) for r in rows.collect()]
 
 
+@pytest.mark.parametrize("named", [True, False], ids=["keys", "no keys"])
+def test_learns_from_every_row(spark, named):
+    # Sixty examples among 40,000 rows suffice for a threshold, a fourth of them would not.
+    key = F.col("id") if named else F.lit(None).cast("long")
+    text = F.when(F.col("id") % 660 == 0, F.concat(F.lit("mail a"), "id", F.lit("@b.org now"))).otherwise("")
+    rows = spark.range(39_600).select(key.alias("doc_id"), text.alias("text"))
+    found = pii.examples(rows, "doc_id", "text").agg(*(F.sum(c).alias(c) for c in ("pos", "neg", "held_pos", "held_neg"))).first()
+    assert found["pos"] + found["held_pos"] == 60 and found["neg"] + found["held_neg"] == 0
+    assert set(pii.fit(rows).thresholds) == {0}
+
+
 def test_main_path_runs_no_python(spark):
     df = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     plan = df.select(pii.find(pii.Selector()).alias("f")).select(pii.span_list("f.spans"))._jdf.queryExecution().toString()
